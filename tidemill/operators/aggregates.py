@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+# Partial results a task of ``combine_groups`` keeps before it reduces them or passes them on.
+_HELD_ROWS = 50_000
+
+
 def row_of_extreme(
     df: DataFrame, keys: Sequence[str], value: str, tie: str, largest: bool = True, row: Sequence[str] | None = None
 ) -> DataFrame:
@@ -32,15 +36,25 @@ def combine_groups(
     """Reduce each group with a user function, in three rounds so that no task holds a heavy group.
 
     ``combine`` maps rows with one key to fewer rows with one key, and must give the same result when applied again to
-    parts already combined (input and output share ``schema``). It runs per Arrow batch where the rows are, then per
+    parts already combined (input and output share ``schema``). It runs per partition where the rows are, then per
     (key, salt), then per key on at most ``fan_in`` parts.
     """
     grouping = list(keys)
 
+    def reduced(rows: pd.DataFrame) -> pd.DataFrame:
+        parts = [combine(g) for _, g in rows.groupby(grouping, dropna=False, sort=False)]
+        return pd.concat(parts) if parts else rows
+
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
         for batch in batches:
-            if len(batch):
-                yield pd.concat([combine(g) for _, g in batch.groupby(grouping, dropna=False, sort=False)])
+            held.append(reduced(batch))
+            if sum(map(len, held)) > _HELD_ROWS:
+                held = [reduced(pd.concat(held))]
+                if len(held[0]) > _HELD_ROWS // 2:
+                    yield held.pop()
+        if held:
+            yield reduced(pd.concat(held))
 
     def merge(part: pd.DataFrame) -> pd.DataFrame:
         return combine(part)
