@@ -72,11 +72,6 @@ def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias(name)), seen
 
 
-def rows_per_partition(df: DataFrame) -> DataFrame:
-    """Rows handled per partition."""
-    return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("n"))
-
-
 def approx_distinct(df: DataFrame, keys: Sequence[str], item: str, name: str, error: float = 0.02) -> DataFrame:
     """Distinct items per group from a small fixed-size sketch."""
     return df.groupBy(*keys).agg(F.approx_count_distinct(item, error).alias(name))

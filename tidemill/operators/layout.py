@@ -39,6 +39,11 @@ def with_partition(df: DataFrame, name: str = "partition") -> DataFrame:
     return df.withColumn(name, F.spark_partition_id())
 
 
+def rows_by_partition(tagged: DataFrame, *extra: Column, name: str = "partition") -> DataFrame:
+    """Rows handled per partition, and further aggregates, of rows tagged by ``with_partition``."""
+    return tagged.groupBy(name).agg(F.count("*").alias("n"), *extra)
+
+
 def salted_totals(df: DataFrame, keys: Sequence[str], salts: int, sums: dict[str, Column]) -> DataFrame:
     """Sums per key in two steps, for inputs whose map-side combining does little (many keys per task, one of them heavy)."""
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).alias("_salt")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from math import gcd
 
 import pandas as pd
@@ -113,15 +113,33 @@ def window_apply(
     function: Callable[[pd.DataFrame], pd.DataFrame],
     schema: str,
 ) -> DataFrame:
-    """A user function over each (key, window) group as pandas, for what aggregates cannot say.
+    """A user function over the rows of whole (key, window) groups as pandas, for what aggregates cannot say.
 
-    The group must fit a task. A function of counts, sums or extremes belongs in ``tumbling``, which combines early.
+    ``function`` gets the rows of many complete groups at once, with ``window_start`` and ``window_end``, so it can work on
+    all of them in vectorized form. One group must fit a task; a function of counts, sums or extremes belongs in
+    ``tumbling``, which combines early.
     """
-    windowed = df.withColumn("_w", F.window(ts, size))
-    flat = windowed.select(
-        *df.columns, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end")
+    flat = df.withColumn("_w", F.window(ts, size)).select(
+        *df.columns,
+        F.col("_w.start").alias("window_start"),
+        F.col("_w.end").alias("window_end"),
+        F.xxhash64(*keys, "_w.start").alias("_group"),
     )
-    return flat.groupBy(*keys, "window_start", "window_end").applyInPandas(function, schema)
+
+    def whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []  # rows of the group still open at the end of the last batch
+        for batch in batches:
+            open_group = batch["_group"].to_numpy() == batch["_group"].iloc[-1]
+            if not open_group.all() or (held and held[0]["_group"].iloc[0] != batch["_group"].iloc[-1]):
+                done = pd.concat([*held, batch[~open_group]])
+                held = []
+                yield function(done.drop(columns="_group"))
+            held.append(batch[open_group])
+        if held:
+            yield function(pd.concat(held).drop(columns="_group"))
+
+    laid_out = flat.repartition("_group").sortWithinPartitions("_group")
+    return laid_out.mapInPandas(whole_groups, schema)
 
 
 def minute_traffic(df: DataFrame, ts: str, domain: str, traffic: Column, size: str = "60 seconds") -> DataFrame:

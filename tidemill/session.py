@@ -40,6 +40,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_rocksdb(spark: SparkSession) -> SparkSession:
+    """Keep streaming state on the executors' disks, which keyed state with timers also needs."""
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

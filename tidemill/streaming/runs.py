@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tidemill.session import use_rocksdb
+
 BATCH = "batch_id"
 
 
 def stream_table(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """A parquet table, and files added to it later, as a stream."""
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    reader = use_rocksdb(spark).readStream.schema(spark.read.parquet(path).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)

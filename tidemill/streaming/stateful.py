@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tidemill.session import use_rocksdb
+
 
 class RunningTotal(StatefulProcessor):
     """Value state holding a key's total; one output row per key and micro-batch with the new total."""
@@ -115,6 +117,7 @@ def _key_type(df: DataFrame, key: str) -> str:
 
 def stream_running_total(stream: DataFrame, key: str, value: str) -> DataFrame:
     """Per micro-batch the new total of each key that got rows; ``value`` is a whole number (cents, counts)."""
+    use_rocksdb(stream.sparkSession)
     return (
         stream.select(key, value)
         .groupBy(key)
@@ -126,6 +129,7 @@ def stream_running_total(stream: DataFrame, key: str, value: str) -> DataFrame:
 
 def stream_distinct(stream: DataFrame, key: str, item: str) -> DataFrame:
     """Per micro-batch the distinct items so far of each key that got rows."""
+    use_rocksdb(stream.sparkSession)
     return (
         stream.select(key, F.col(item).cast("string").alias(item))
         .groupBy(key)
@@ -145,6 +149,7 @@ def stream_rising_alarms(
     reset_on_drop: bool = False,
 ) -> DataFrame:
     """Alarms as they become due: ``key, opened_ms, first_value, peak_value, alarm_ms``."""
+    use_rocksdb(stream.sparkSession)
     readings = stream.select(
         key,
         F.col(ts).cast("timestamp").alias("at"),
