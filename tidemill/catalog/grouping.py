@@ -71,10 +71,10 @@ def _top_ip(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def _group_apply(spark: SparkSession, sf: str) -> DataFrame:
-    """A user function over groups, combined where the rows are and merged twice."""
+    """A user function over groups, combined where the rows are and merged per key."""
 
-    def combine(g: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"user_id": [g["user_id"].iloc[0]], "n": [g["n"].sum()], "c": [g["c"].sum()], "top": [g["top"].max()]})
+    def combine(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.groupby("user_id", as_index=False, dropna=False).agg({"n": "sum", "c": "sum", "top": "max"})
 
     c = cents(F.col("value"))
     rows = events(spark, sf).select("user_id", F.lit(1).cast("long").alias("n"), c.alias("c"), c.alias("top"))

@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from tidemill.catalog.base import events, query, sql_cents, sql_label, sql_ts_label, sql_window, table
 from tidemill.functions.exact import cents
+from tidemill.functions.records import json_fields
 from tidemill.functions.times import second_label
 from tidemill.operators.temporal import window_join
 from tidemill.operators.windows import tumbling
 from tidemill.plans.jobs import json_messages
 from tidemill.session import new_dir, use_utc
 from tidemill.sinks.ledger import Ledger
-from tidemill.functions.records import json_fields
 from tidemill.streaming.runs import append_files, current_rows, stream_table, update_files, with_event_time
-from tidemill.streaming.stateful import stream_distinct, stream_rising_alarms, stream_running_total
-from tidemill.streaming.windows import stream_distinct_rows, stream_session_totals, stream_word_windows
+from tidemill.streaming.stateful import stream_distinct, stream_rising_alarms
+from tidemill.streaming.windows import stream_distinct_rows, stream_session_totals, stream_totals, stream_word_windows
 
 _C = sql_cents("value")
 
@@ -116,10 +116,10 @@ def _stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_state", f"SELECT user_id, CAST(sum({_C}) AS BIGINT) AS total, count(*) AS n FROM events GROUP BY user_id")
 def _stream_state(spark: SparkSession, sf: str) -> DataFrame:
-    """A keyed value state with the running total."""
+    """The running reduce per key; each batch writes the new value of the keys it touched."""
     target, progress = _paths(spark, "totals")
-    rows = _events(spark, sf).select("user_id", cents(F.col("value")).alias("c"))
-    update_files(stream_running_total(rows, "user_id", "c"), target, progress)
+    sums = [F.sum(cents(F.col("value"))).alias("total"), F.count("*").alias("n")]
+    update_files(stream_totals(_events(spark, sf), ["user_id"], *sums), target, progress)
     return current_rows(spark, target, ["user_id"])
 
 

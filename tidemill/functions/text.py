@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 WORD_DELIMITERS = "[\\t, \\r\\n]+"
 
 
-def word_array(text: Column, pattern: str = WORD_DELIMITERS, lowercase: bool = True, drop_empty: bool = True) -> Column:
-    """The words of a text as an array."""
-    words = F.split(F.lower(text) if lowercase else text, pattern)
-    return F.filter(words, lambda w: F.length(w) > 0) if drop_empty else words
+def word_array(text: Column, pattern: str = WORD_DELIMITERS, lowercase: bool = True) -> Column:
+    """The words of a text as an array; a text that starts or ends with a delimiter has an empty word there."""
+    return F.split(F.lower(text) if lowercase else text, pattern)
 
 
 def fields(line: Column, separator: str, drop_trailing_empty: bool = True) -> Column:

@@ -27,43 +27,43 @@ def row_of_extreme(
 
 
 def combine_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    combine: Callable[[pd.DataFrame], pd.DataFrame],
-    schema: str,
-    fan_in: int = 32,
+    df: DataFrame, keys: Sequence[str], combine: Callable[[pd.DataFrame], pd.DataFrame], schema: str
 ) -> DataFrame:
-    """Reduce each group with a user function, in three rounds so that no task holds a heavy group.
+    """Reduce groups with a user function, first where the rows are and then per key, without holding a whole group.
 
-    ``combine`` maps rows with one key to fewer rows with one key, and must give the same result when applied again to
-    parts already combined (input and output share ``schema``). It runs per partition where the rows are, then per
-    (key, salt), then per key on at most ``fan_in`` parts.
+    ``combine`` gets rows of many groups and returns fewer rows per group. It must accept its own results as input again
+    and be associative (input and output share ``schema``). Rows reach it in batches; after the shuffle they are sorted by
+    key and only the last group's result so far is carried from batch to batch.
     """
-    grouping = list(keys)
-
-    def reduced(rows: pd.DataFrame) -> pd.DataFrame:
-        parts = [combine(g) for _, g in rows.groupby(grouping, dropna=False, sort=False)]
-        return pd.concat(parts) if parts else rows
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         for batch in batches:
-            held.append(reduced(batch))
+            held.append(combine(batch))
             if sum(map(len, held)) > _HELD_ROWS:
-                held = [reduced(pd.concat(held))]
+                held = [combine(pd.concat(held))]
                 if len(held[0]) > _HELD_ROWS // 2:
                     yield held.pop()
         if held:
-            yield reduced(pd.concat(held))
-
-    def merge(part: pd.DataFrame) -> pd.DataFrame:
-        return combine(part)
+            yield combine(pd.concat(held))
 
-    partial = df.mapInPandas(local, schema)
-    salted = partial.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
-    names = partial.columns
-    halfway = salted.groupBy(*grouping, "_salt").applyInPandas(lambda p: merge(p[names]), schema)
-    return halfway.groupBy(*grouping).applyInPandas(merge, schema)
+    def final(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        last = None
+        for batch in batches:
+            end = batch["_group"].iloc[-1]
+            closed = batch["_group"] != end
+            if last is not None and last != end:
+                yield combine(pd.concat([*held, batch[closed].drop(columns="_group")]))
+                held = []
+            elif closed.any():
+                yield combine(batch[closed].drop(columns="_group"))
+            held = [combine(pd.concat([*held, batch[~closed].drop(columns="_group")]))]
+            last = end
+        yield from held
+
+    partial = df.mapInPandas(local, schema).withColumn("_group", F.xxhash64(*keys))
+    return partial.repartition("_group").sortWithinPartitions("_group").mapInPandas(final, schema)
 
 
 def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.running import Running, running
+from tidemill.session import written
 
 
 def classify_arrivals(
@@ -50,8 +51,10 @@ def firing_log(classified: DataFrame, ts: str, keys: Sequence[str], arrival: Seq
     end the final watermark has not reached has not fired.
     """
     group = [*keys, "window_start", "window_end"]
-    valued = classified.withColumn("_v", value)
-    final = classified.agg(
+    valued = written(
+        classified.select(*dict.fromkeys([*group, *arrival, ts, "arrival_class"]), value.alias("_v")), "classified"
+    )  # read by the first firings, the refirings and the final watermark
+    final = valued.agg(
         (F.max(F.unix_micros(F.col(ts).cast("timestamp"))) - F.lit(delay_s * 1_000_000)).alias("_final")
     )
     first = (

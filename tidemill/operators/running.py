@@ -24,9 +24,18 @@ class Running:
 _AGG = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
 
 
-def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Sequence[Running]) -> DataFrame:
-    """``df`` plus one running column per measure. ``order`` must be unique per key for a definite answer."""
-    plan = SlicedOrder(df, keys, order)
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    measures: Sequence[Running],
+    plan: SlicedOrder | None = None,
+) -> DataFrame:
+    """``df`` plus one running column per measure. ``order`` must be unique per key for a definite answer.
+
+    ``plan`` reuses slices planned before, on this or a similar DataFrame.
+    """
+    plan = plan or SlicedOrder(df, keys, order)
     inputs = {f"_in{i}": (m.value if m.value is not None else F.lit(1)) for i, m in enumerate(measures)}
     rows = plan.add(df.withColumns(inputs))
     if plan.split:
@@ -91,5 +100,6 @@ def running_distinct(
     markers = seen.select(*group, order, F.lit(0).alias("_row"), F.lit(1).alias("_first"))
     rows = df.withColumns({"_row": F.lit(1), "_first": F.lit(0)})
     both = rows.unionByName(markers, allowMissingColumns=True)
-    counted = running(both, group, [order, "_row"], [Running(name, "sum", F.col("_first"))])
+    plan = SlicedOrder(rows, group, [order, "_row"])
+    counted = running(both, group, [order, "_row"], [Running(name, "sum", F.col("_first"))], plan)
     return counted.where(F.col("_row") == 1).drop("_row", "_first")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.slices import SlicedOrder
+from tidemill.session import written
 
 _MERGE = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -19,13 +20,14 @@ def label_sessions(
     gap: Column,
     touch_merges: bool = False,
     name: str = "session_start",
+    plan: SlicedOrder | None = None,
 ) -> DataFrame:
     """``df`` plus the start time of each row's session.
 
     A row opens a session when it is at least its key's furthest ``ts + gap`` so far away. With ``touch_merges`` a row
     exactly at that point still belongs to the session (the rule of the built-in session window). ``gap`` is an interval.
     """
-    plan = SlicedOrder(df, keys, [ts])
+    plan = plan or SlicedOrder(df, keys, [ts])
     rows = plan.add(df.withColumn("_end", F.col(ts) + gap))
     reach = F.max("_end").over(plan.within().rowsBetween(Window.unboundedPreceding, -1))
     if plan.split:
@@ -59,7 +61,10 @@ def session_totals(
     instant = df.withColumn("_gap_end", F.col(ts) + gap).groupBy(*keys, ts).agg(
         F.max("_gap_end").alias("_gap_end"), *[agg.alias(n) for n, (agg, _) in totals.items()]
     )
-    labelled = label_sessions(instant, keys, ts, F.col("_gap_end") - F.col(ts), touch_merges)
+    plan = SlicedOrder(df, keys, [ts])
+    if plan.split:
+        instant = written(instant, "instants")  # read by three passes
+    labelled = label_sessions(instant, keys, ts, F.col("_gap_end") - F.col(ts), touch_merges, plan=plan)
     return labelled.groupBy(*keys, "session_start").agg(
         F.max("_gap_end").alias("session_end"), *[_MERGE[how](n).alias(n) for n, (_, how) in totals.items()]
     )

@@ -22,7 +22,8 @@ def split_words(
 ) -> DataFrame:
     """One row per word of a text column, other columns kept."""
     rest = [c for c in df.columns if c != text]
-    return df.select(*rest, F.explode(word_array(F.col(text), pattern, lowercase, drop_empty)).alias(name))
+    words = df.select(*rest, F.explode(word_array(F.col(text), pattern, lowercase)).alias(name))
+    return words.where(F.length(name) > 0) if drop_empty else words
 
 
 def one_to_many(df: DataFrame, kept: Sequence[str], values: Sequence[Column], name: str) -> DataFrame:

@@ -5,7 +5,8 @@ one task per key, which fails when one key holds a third of the rows or when the
 order axis is cut into slices of similar row counts. Rows of a heavy key are windowed per (key, slice); what the
 earlier slices contribute is a small per-slice total, summed up over the slices and joined back.
 
-The cuts only decide how work is spread: any cuts give the same rows and values.
+The cuts and the choice of heavy keys only decide how work is spread: any of them give the same rows and values. So a
+``SlicedOrder`` may be planned on one DataFrame and used on another with the same keys and order.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import math
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
@@ -112,20 +113,29 @@ class SlicedOrder:
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str]):
         self.keys, self.order = list(keys), list(order)
-        spark = df.sparkSession
-        rows = df.select(*self.keys).count() if self.keys else df.count()
-        n = slice_count(df, rows)
         self.heavy: DataFrame | None = None
         if not self.keys:
+            rows = df.count()
+            n = slice_count(df, rows)
             self.split = n > 1
         else:
-            # More than rows/n rows: at most n keys qualify, so the list fits the driver and a broadcast.
-            heavy = df.groupBy(*self.keys).count().where(F.col("count") > F.lit(rows / n)).drop("count").collect()
+            rows, largest = self._largest_keys(df)
+            n = slice_count(df, rows)
+            # A heavy key has more than rows/n rows, so there are fewer than n of them.
+            heavy = [r for r in largest if r["_n"] > rows / n]
             self.split = n > 1 and bool(heavy)
             if self.split:
-                self.heavy = spark.createDataFrame(heavy, df.select(*self.keys).schema)
+                schema = df.select(*self.keys).schema
+                self.heavy = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in heavy], schema)
         self._cuts = _find_cuts(df, self.order, n, rows) if self.split else None
 
+    def _largest_keys(self, df: DataFrame) -> tuple[int, list[Row]]:
+        """Row count of the table and, in the same pass, the MAX_SLICES keys with most rows."""
+        total = Observation()
+        per_key = df.groupBy(*self.keys).agg(F.count("*").alias("_n")).observe(total, F.sum("_n").alias("rows"))
+        largest = per_key.orderBy(F.col("_n").desc()).limit(MAX_SLICES).collect()
+        return (total.get["rows"] or 0) if largest else 0, largest
+
     def add(self, df: DataFrame) -> DataFrame:
         """``df`` with its slice number; rows of keys that are not heavy share one slice per key."""
         if not self.split:

@@ -21,7 +21,7 @@ class RunningTotal(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.total = handle.getValueState("total", "total long, n long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         total, n = self.total.get() if self.total.exists() else (0, 0)
         for chunk in rows:
             total, n = total + int(chunk[self.value].sum()), n + len(chunk)
@@ -39,7 +39,7 @@ class SeenItems(StatefulProcessor):
         self.seen = handle.getMapState("seen", "item string", "n long")
         self.count = handle.getValueState("count", "n long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         distinct = self.count.get()[0] if self.count.exists() else 0
         for chunk in rows:
             for item, n in chunk[self.item].value_counts().items():
@@ -64,7 +64,7 @@ class RisingAlarm(StatefulProcessor):
         self.handle = handle
         self.readings = handle.getListState("readings", "at long, value double")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         chunks = list(rows)
         if not chunks:
             return
@@ -88,9 +88,9 @@ class RisingAlarm(StatefulProcessor):
         if out:
             yield self._frame(key, out)
 
-    def handleExpiredTimer(self, key, timer_values, expired_timer_info) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         listed = list(self.readings.get()) if self.readings.exists() else []
-        if listed and listed[0][0] + self.hold_ms == expired_timer_info.get_expiry_time_in_ms():
+        if listed and listed[0][0] + self.hold_ms == expiredTimerInfo.getExpiryTimeInMs():
             self.readings.clear()
             out = self._close(listed)
             if out:

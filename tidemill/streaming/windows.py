@@ -25,6 +25,11 @@ def stream_session_totals(stream: DataFrame, keys: Sequence[str], ts: str, gap_s
     return summed.select(*keys, F.col("session.start").alias("session_start"), end.alias("session_end"), *rest)
 
 
+def stream_totals(stream: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    """Running aggregates per key without a window; run it in update mode. Keys stay in state for good."""
+    return stream.groupBy(*keys).agg(*aggregates)
+
+
 def stream_distinct_rows(stream: DataFrame, ts: str, keys: Sequence[str], delay: str) -> DataFrame:
     """The first row of each key; a repeat counts as one while it arrives within the delay."""
     return with_event_time(stream, ts, delay).dropDuplicatesWithinWatermark(list(keys))
