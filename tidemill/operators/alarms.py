@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.slices import SLICE, SlicedOrder, join_on
+from tidemill.operators.slices import SLICE, WHOLE_KEY, SlicedOrder, join_on
 
 
 def _next_watch(at: np.ndarray, high: np.ndarray, drop: np.ndarray, hold: int):
@@ -145,8 +145,8 @@ def rising_alarms(
         if plan.split:
             last = rows.groupBy(*group).agg(F.max_by("_value", F.struct("_at", "_id")).alias("_last"))
             earlier = Window.partitionBy(key).orderBy(SLICE)
-            last = last.select(*group, F.lag("_last").over(earlier).alias("_last"))
-            rows = join_on(rows, last, group)
+            last = last.where(F.col(SLICE) != WHOLE_KEY).select(*group, F.lag("_last").over(earlier).alias("_last"))
+            rows = plan.attach(rows, last)
             before = F.coalesce(before, F.col("_last"))
         rows = rows.withColumn("_drop", F.coalesce(F.col("_value") < before, F.lit(False))).drop("_last")
     else:

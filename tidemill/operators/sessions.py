@@ -7,12 +7,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.slices import SlicedOrder
+from tidemill.operators.slices import SLICE, SlicedOrder
 from tidemill.session import written
 
 _MERGE = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
+def _opened(rows: DataFrame, plan: SlicedOrder, ts: str, end: Column, touch_merges: bool) -> DataFrame:
+    """Sliced rows plus ``_end`` and the start of their session as far as their own slice shows it (else null)."""
+    rows = rows.withColumn("_end", end)
+    reach = F.max("_end").over(plan.within().rowsBetween(Window.unboundedPreceding, -1))
+    if plan.split:
+        rows = plan.attach(rows, plan.earlier(rows, {"_reach": (F.max("_end"), "max")}))
+        reach = F.greatest(reach, F.col("_reach"))
+    rows = rows.withColumn("_so_far", reach)
+    away = F.col(ts) > F.col("_so_far") if touch_merges else F.col(ts) >= F.col("_so_far")
+    rows = rows.withColumn("_new", F.when(F.col("_so_far").isNull() | away, F.col(ts)))
+    # Starts rise with the rows, so the latest start is the largest one.
+    start = F.max("_new").over(plan.within().rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.withColumn("_start", start)
+
+
+def _carry_over(rows: DataFrame, plan: SlicedOrder) -> DataFrame:
+    """Fill in the starts that lie in an earlier slice."""
+    if not plan.split:
+        return rows
+    carried = plan.earlier(rows, {"_carried": (F.max("_start"), "max")})
+    return plan.attach(rows, carried).withColumn("_start", F.coalesce("_start", "_carried"))
+
+
 def label_sessions(
     df: DataFrame,
     keys: Sequence[str],
@@ -20,29 +43,15 @@ def label_sessions(
     gap: Column,
     touch_merges: bool = False,
     name: str = "session_start",
-    plan: SlicedOrder | None = None,
 ) -> DataFrame:
     """``df`` plus the start time of each row's session.
 
     A row opens a session when it is at least its key's furthest ``ts + gap`` so far away. With ``touch_merges`` a row
     exactly at that point still belongs to the session (the rule of the built-in session window). ``gap`` is an interval.
     """
-    plan = plan or SlicedOrder(df, keys, [ts])
-    rows = plan.add(df.withColumn("_end", F.col(ts) + gap))
-    reach = F.max("_end").over(plan.within().rowsBetween(Window.unboundedPreceding, -1))
-    if plan.split:
-        rows = plan.attach(rows, plan.earlier(rows, {"_reach": (F.max("_end"), "max")}))
-        reach = F.greatest(reach, F.col("_reach"))
-    rows = rows.withColumn("_so_far", reach)
-    away = F.col(ts) > F.col("_so_far") if touch_merges else F.col(ts) >= F.col("_so_far")
-    opened = F.when(F.col("_so_far").isNull() | away, F.col(ts))
-    # Starts rise with the rows, so the latest start is the largest one.
-    start = F.max("_opened").over(plan.within().rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = rows.withColumn("_opened", opened)
-    if plan.split:
-        rows = plan.attach(rows, plan.earlier(rows, {"_carried": (F.max("_opened"), "max")}))
-        start = F.coalesce(start, F.col("_carried"))
-    return rows.select(*df.columns, start.alias(name))
+    plan = SlicedOrder(df, keys, [ts])
+    rows = _opened(plan.add(df), plan, ts, F.col(ts) + gap, touch_merges)
+    return _carry_over(rows, plan).select(*df.columns, F.col("_start").alias(name))
 
 
 def session_totals(
@@ -55,16 +64,22 @@ def session_totals(
 ) -> DataFrame:
     """One row per session: keys, ``session_start``, ``session_end`` (last row plus its gap), and ``totals``.
 
-    ``totals`` maps a name to (aggregate, how two partial results merge). Rows at the same instant are combined first, so
-    a burst at one instant does not land in one task.
+    ``totals`` maps a name to (aggregate, how two partial results merge). The rows are read in order once; each slice is
+    summed up to its own sessions right there, and only those are merged across slices.
     """
-    instant = df.withColumn("_gap_end", F.col(ts) + gap).groupBy(*keys, ts).agg(
-        F.max("_gap_end").alias("_gap_end"), *[agg.alias(n) for n, (agg, _) in totals.items()]
-    )
+    merged = [_MERGE[how](n).alias(n) for n, (_, how) in totals.items()]
+    summed = [agg.alias(n) for n, (agg, _) in totals.items()]
+    end = F.col(ts) + gap
     plan = SlicedOrder(df, keys, [ts])
+    if plan.has_heavy_ties:
+        # Many rows at one instant cannot be cut apart by time: combine them first.
+        df = df.groupBy(*keys, ts).agg(F.max(end).alias("_until"), *summed)
+        df, end, summed = written(df, "instants"), F.col("_until"), merged
+    opened = _opened(plan.add(df), plan, ts, end, touch_merges)
+    pieces = opened.groupBy(*keys, SLICE, "_start").agg(F.max("_end").alias("_end"), *summed)
     if plan.split:
-        instant = written(instant, "instants")  # read by three passes
-    labelled = label_sessions(instant, keys, ts, F.col("_gap_end") - F.col(ts), touch_merges, plan=plan)
-    return labelled.groupBy(*keys, "session_start").agg(
-        F.max("_gap_end").alias("session_end"), *[_MERGE[how](n).alias(n) for n, (_, how) in totals.items()]
+        pieces = _carry_over(written(pieces, "sessions"), plan)
+        pieces = pieces.groupBy(*keys, "_start").agg(F.max("_end").alias("_end"), *merged)
+    return pieces.select(
+        *keys, F.col("_start").alias("session_start"), F.col("_end").alias("session_end"), *totals
     )

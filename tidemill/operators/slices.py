@@ -11,15 +11,16 @@ The cuts and the choice of heavy keys only decide how work is spread: any of the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import math
-
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Observation, Row, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
@@ -31,6 +32,7 @@ DEFAULT_ROWS_PER_SLICE = 1_000_000
 # grow in rows; the windows over them sort and spill.
 MAX_SLICES = 8192
 _SAMPLED_PER_SLICE = 200
+BROADCAST_VALUES = 500_000
 
 
 def slice_count(df: DataFrame, rows: int) -> int:
@@ -78,6 +80,7 @@ class _Cuts:
     first: list[float]
     tied: list[float]
     second: list[float]
+    heavy_ties: bool = False
 
 
 def _find_cuts(df: DataFrame, order: Sequence[str], n: int, rows: int) -> _Cuts:
@@ -91,9 +94,10 @@ def _find_cuts(df: DataFrame, order: Sequence[str], n: int, rows: int) -> _Cuts:
         return _Cuts([], [], [])
     found = sampled.agg(F.percentile_approx("a", steps, 10 * n).alias("q")).first()["q"] or []
     values, counts = np.unique(np.array(found, dtype="float64"), return_counts=True)
+    heavy = bool((counts > 1).any())
     tied = [float(v) for v in values[counts > 1]] if len(order) > 1 else []
     if not tied:
-        return _Cuts([float(v) for v in values], [], [])
+        return _Cuts([float(v) for v in values], [], [], heavy)
     # A tied value gets a slice range of its own, cut further by the tie-break column.
     first = sorted({*map(float, values), *(float(np.nextafter(v, math.inf)) for v in tied)})
     share = int(counts.max()) + 1
@@ -105,7 +109,7 @@ def _find_cuts(df: DataFrame, order: Sequence[str], n: int, rows: int) -> _Cuts:
         .distinct()
         .collect()  # at most one value per cut
     )
-    return _Cuts(first, tied, sorted(float(r["q"]) for r in inner))
+    return _Cuts(first, tied, sorted(float(r["q"]) for r in inner), heavy)
 
 
 class SlicedOrder:
@@ -122,19 +126,24 @@ class SlicedOrder:
             rows, largest = self._largest_keys(df)
             n = slice_count(df, rows)
             # A heavy key has more than rows/n rows, so there are fewer than n of them.
-            heavy = [r for r in largest if r["_n"] > rows / n]
-            self.split = n > 1 and bool(heavy)
+            heavy = largest.filter(pc.field("_n") > rows / n).drop_columns(["_n"])
+            self.split = n > 1 and heavy.num_rows > 0
             if self.split:
-                schema = df.select(*self.keys).schema
-                self.heavy = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in heavy], schema)
+                self.heavy = df.sparkSession.createDataFrame(heavy, df.select(*self.keys).schema)
+                self.heavy_keys = heavy.num_rows
         self._cuts = _find_cuts(df, self.order, n, rows) if self.split else None
 
-    def _largest_keys(self, df: DataFrame) -> tuple[int, list[Row]]:
+    def _largest_keys(self, df: DataFrame) -> tuple[int, pa.Table]:
         """Row count of the table and, in the same pass, the MAX_SLICES keys with most rows."""
         total = Observation()
         per_key = df.groupBy(*self.keys).agg(F.count("*").alias("_n")).observe(total, F.sum("_n").alias("rows"))
-        largest = per_key.orderBy(F.col("_n").desc()).limit(MAX_SLICES).collect()
-        return (total.get["rows"] or 0) if largest else 0, largest
+        largest = per_key.orderBy(F.col("_n").desc()).limit(MAX_SLICES).toArrow()
+        return (total.get["rows"] or 0) if largest.num_rows else 0, largest
+
+    @property
+    def has_heavy_ties(self) -> bool:
+        """Whether some value of the first order column holds about a slice of rows by itself."""
+        return self.split and self._cuts.heavy_ties
 
     def add(self, df: DataFrame) -> DataFrame:
         """``df`` with its slice number; rows of keys that are not heavy share one slice per key."""
@@ -173,5 +182,11 @@ class SlicedOrder:
         )
 
     def attach(self, sliced: DataFrame, small: DataFrame) -> DataFrame:
-        """Join per-slice values to the rows; without keys ``small`` has one row per slice, so it is broadcast."""
-        return join_on(sliced, small if self.keys else F.broadcast(small), [*self.keys, SLICE])
+        """Join values per (key, slice) of heavy keys to the rows.
+
+        Their number is bounded by heavy keys times slices. Within BROADCAST_VALUES they are broadcast, so that the rows
+        are shuffled once, for the window; beyond it this is a shuffle join.
+        """
+        keys = self.heavy_keys if self.keys else 1
+        values = keys * (len(self._cuts.first) + 2) * (len(self._cuts.second) + 2)
+        return join_on(sliced, F.broadcast(small) if values <= BROADCAST_VALUES else small, [*self.keys, SLICE])

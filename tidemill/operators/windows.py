@@ -37,18 +37,17 @@ def sliding(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str],
 def sliding_panes(
     df: DataFrame, ts: str, size_s: int, slide_s: int, keys: Sequence[str], measures: Measures
 ) -> DataFrame:
-    """The batch form of ``sliding`` for mergeable measures: rows meet once per pane, only panes are copied per window.
+    """The batch form of ``sliding`` for mergeable measures and many windows per row.
 
-    ``measures`` maps a name to ("sum"|"count"|"max"|"min", column).
+    Rows meet once per pane and only panes are copied per window, at the price of a second shuffle. ``measures`` maps a name to ("sum"|"count"|"max"|"min", column).
     """
     pane_s = gcd(size_s, slide_s)
     pane = F.window(ts, f"{pane_s} seconds")["start"]
     panes = df.groupBy(pane.alias("_pane"), *keys).agg(*[_FIRST[how](c).alias(n) for n, (how, c) in measures.items()])
     at = F.unix_seconds("_pane")
     newest = at - F.pmod(at, F.lit(slide_s))
-    offsets = F.sequence(F.lit(0), F.lit((size_s - 1) // slide_s))
-    starts = F.filter(F.transform(offsets, lambda i: newest - i * slide_s), lambda s: at < s + size_s)
-    spread = panes.withColumn("_start", F.explode(starts))
+    oldest = newest - F.floor((size_s - 1 - F.pmod(at, F.lit(slide_s))) / slide_s).cast("long") * slide_s
+    spread = panes.withColumn("_start", F.explode(F.sequence(oldest, newest, F.lit(slide_s).cast("long"))))
     merged = spread.groupBy("_start", *keys).agg(*[_MERGE[how](n).alias(n) for n, (how, _) in measures.items()])
     start = F.timestamp_seconds("_start")
     end = F.timestamp_seconds(F.col("_start") + size_s)
@@ -96,9 +95,9 @@ def count_sliding(
         *[_FIRST[how](c).alias(n) for n, (how, c) in measures.items()], F.max("_rn").alias("_last")
     )
     first = F.ceil(F.col("_run") / slide).cast("long") * slide
-    ends = F.sequence(F.lit(0), F.lit((size - 1) // slide))
-    ends = F.filter(F.transform(ends, lambda i: first + i * slide), lambda e: F.col("_run") > e - size)
-    spread = runs.withColumn("upto", F.explode(ends))
+    last = F.floor((F.col("_run") + size - 1) / slide).cast("long") * slide
+    step_col = F.lit(slide).cast("long")
+    spread = runs.where(last >= first).withColumn("upto", F.explode(F.sequence(first, last, step_col)))
     fired = spread.groupBy(*keys, "upto").agg(
         *[_MERGE[how](n).alias(n) for n, (how, _) in measures.items()], F.max("_last").alias("_last")
     )
