@@ -339,9 +339,10 @@ def test_window_apply_across_batches(spark):
         df = at(spark, [(f"k{i % 7}", float(i)) for i in range(200)], "k string, s double")
 
         def sizes(g: pd.DataFrame) -> pd.DataFrame:
-            return g.groupby(["k", "window_start"], as_index=False).agg(n=("s", "size"))
+            return g.groupby(["k", "window_start"], as_index=False).agg(n=("n", "sum"))
 
-        got = window_apply(df, "ts", "50 seconds", ["k"], sizes, "k string, window_start timestamp, n long")
+        counted_rows = df.withColumn("n", F.lit(1).cast("long"))
+        got = window_apply(counted_rows, "ts", "50 seconds", ["k"], sizes, "k string, window_start timestamp, n long")
         want = tumbling(df, "ts", "50 seconds", ["k"], F.count("*").alias("n")).select("k", "window_start", "n")
         assert rows(got) == rows(want)
     finally:

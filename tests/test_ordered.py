@@ -61,6 +61,23 @@ def test_ties_on_the_first_order_column(spark):
     assert got == {row: i + 1 for i, row in enumerate(sorted(rows))}
 
 
+def test_rows_without_a_position_come_last(spark):
+    rows = [(i if i % 5 else None, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "at long, id long").repartition(5)
+    got = {r["id"]: r["rn"] for r in number_rows(df, [], ["at", "id"]).collect()}
+    ranked = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    assert got == {i: n + 1 for n, (_, i) in enumerate(ranked)}
+
+
+def test_sessions_with_most_rows_at_one_instant(spark):
+    points = [100] * 300 + [0, 1, 2, 50, 99, 104, 106, 200] * 5
+    df = spark.createDataFrame([(t,) for t in points], "s long").repartition(4).withColumn("ts", F.timestamp_seconds("s"))
+    assert SlicedOrder(df, [], ["ts"]).has_heavy_ties
+    got = session_totals(df, [], "ts", seconds(F.lit(4)), {"n": (F.count("*"), "sum")}).collect()
+    found = sorted((int(r["session_start"].timestamp()), int(r["session_end"].timestamp()), r["n"]) for r in got)
+    assert found == brute_sessions(points, lambda t: 4, False)
+
+
 def test_running_sum_golden(spark):
     rows = [("篮球", 1, 1), ("篮球", 2, 2), ("篮球", 3, 3), ("足球", 4, 3), ("足球", 5, 2), ("足球", 6, 3)]
     df = spark.createDataFrame(rows, "k string, seq long, v int")

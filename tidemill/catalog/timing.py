@@ -105,11 +105,21 @@ def _window_apply(spark: SparkSession, sf: str) -> DataFrame:
     """A user function that sees key, window and all rows of the window."""
 
     def describe(rows: pd.DataFrame) -> pd.DataFrame:
-        windows = rows.sort_values("event_id").groupby(["user_id", "window_start", "window_end"], sort=False)
-        return windows.agg(n=("c", "size"), first_c=("c", "first"), last_c=("c", "last")).reset_index()
-
-    rows = events(spark, sf).select("event_id", "user_id", "ts", cents(F.col("value")).alias("c"))
-    schema = "user_id long, window_start timestamp, window_end timestamp, n long, first_c long, last_c long"
+        windows = rows.groupby(["user_id", "window_start", "window_end"], sort=False)
+        n = windows["n"].sum().reset_index()
+        first = rows.loc[windows["first_id"].idxmin(), ["user_id", "window_start", "first_id", "first_c"]]
+        last = rows.loc[windows["last_id"].idxmax(), ["user_id", "window_start", "last_id", "last_c"]]
+        return n.merge(first, on=["user_id", "window_start"]).merge(last, on=["user_id", "window_start"])
+
+    c = cents(F.col("value"))
+    rows = events(spark, sf).select(
+        "user_id", "ts", F.lit(1).cast("long").alias("n"), F.col("event_id").alias("first_id"), c.alias("first_c"),
+        F.col("event_id").alias("last_id"), c.alias("last_c"),
+    )
+    schema = (
+        "user_id long, window_start timestamp, window_end timestamp, n long, "
+        "first_id long, first_c long, last_id long, last_c long"
+    )
     out = window_apply(rows, "ts", "86400 seconds", ["user_id"], describe, schema)
     return _labelled(out, "user_id", "n", "first_c", "last_c")
 

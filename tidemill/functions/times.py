@@ -42,3 +42,8 @@ def day_and_time(text: Column) -> tuple[Column, Column]:
     """``"yyyy-MM-dd HH:mm:ss"`` as its date part and its time part."""
     parts = F.split(text, " ")
     return F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+
+
+def arrival_time() -> Column:
+    """The processing time: when the micro-batch or the batch job that holds the row runs. For windows by arrival."""
+    return F.current_timestamp()

@@ -26,6 +26,10 @@ def row_of_extreme(
     return found.where(F.col("_row").isNotNull()).select(*keys, "_row.*")
 
 
+def _joined(parts: list[pd.DataFrame]) -> pd.DataFrame:
+    return pd.concat(parts, ignore_index=True)
+
+
 def combine_groups(
     df: DataFrame, keys: Sequence[str], combine: Callable[[pd.DataFrame], pd.DataFrame], schema: str
 ) -> DataFrame:
@@ -41,11 +45,11 @@ def combine_groups(
         for batch in batches:
             held.append(combine(batch))
             if sum(map(len, held)) > _HELD_ROWS:
-                held = [combine(pd.concat(held))]
+                held = [combine(_joined(held))]
                 if len(held[0]) > _HELD_ROWS // 2:
                     yield held.pop()
         if held:
-            yield combine(pd.concat(held))
+            yield combine(_joined(held))
 
     def final(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -54,11 +58,11 @@ def combine_groups(
             end = batch["_group"].iloc[-1]
             closed = batch["_group"] != end
             if last is not None and last != end:
-                yield combine(pd.concat([*held, batch[closed].drop(columns="_group")]))
+                yield combine(_joined([*held, batch[closed].drop(columns="_group")]))
                 held = []
             elif closed.any():
-                yield combine(batch[closed].drop(columns="_group"))
-            held = [combine(pd.concat([*held, batch[~closed].drop(columns="_group")]))]
+                yield combine(_joined([batch[closed].drop(columns="_group")]))
+            held = [combine(_joined([*held, batch[~closed].drop(columns="_group")]))]
             last = end
         yield from held
 

@@ -72,7 +72,8 @@ def _bucket(df: DataFrame, source: str, target: str, cuts: Sequence[float]) -> D
     if len(splits) < 3:
         return df.withColumn(target, F.lit(0))
     cut = Bucketizer(inputCol=source, outputCol=target, splits=splits, handleInvalid="keep")
-    return cut.transform(df).withColumn(target, F.col(target).cast("int"))
+    # rows without a position come last, as in the order itself
+    return cut.transform(df).withColumn(target, F.coalesce(F.col(target).cast("int"), F.lit(len(splits))))
 
 
 @dataclass(frozen=True)
@@ -98,18 +99,14 @@ def _find_cuts(df: DataFrame, order: Sequence[str], n: int, rows: int) -> _Cuts:
     tied = [float(v) for v in values[counts > 1]] if len(order) > 1 else []
     if not tied:
         return _Cuts([float(v) for v in values], [], [], heavy)
-    # A tied value gets a slice range of its own, cut further by the tie-break column.
+    # A tied value gets a slice range of its own, cut further by the tie-break column: one cut per slice's worth of rows.
     first = sorted({*map(float, values), *(float(np.nextafter(v, math.inf)) for v in tied)})
-    share = int(counts.max()) + 1
-    inner = (
-        sampled.where(F.col("a").isin(tied))
-        .groupBy("a")
-        .agg(F.percentile_approx("b", [i / share for i in range(1, share)], 10 * share).alias("q"))
-        .select(F.explode("q").alias("q"))
-        .distinct()
-        .collect()  # at most one value per cut
+    per_slice = max(1, int(min(rows, _SAMPLED_PER_SLICE * n) / n))
+    numbered = sampled.where(F.col("a").isin(tied) & F.col("b").isNotNull()).withColumn(
+        "rn", F.row_number().over(Window.partitionBy("a").orderBy("b"))
     )
-    return _Cuts(first, tied, sorted(float(r["q"]) for r in inner), heavy)
+    inner = numbered.where(F.col("rn") % per_slice == 0).select("b").distinct().collect()  # about n values at most
+    return _Cuts(first, tied, sorted(float(r["b"]) for r in inner), heavy)
 
 
 class SlicedOrder:
@@ -154,7 +151,7 @@ class SlicedOrder:
         if cuts.tied:
             out = _bucket(out.withColumn("_pos2", _position(self.order[1], df)), "_pos2", "_sub", cuts.second)
             inside = F.when(F.col("_pos").isin(cuts.tied), F.col("_sub")).otherwise(F.lit(0))
-            out = out.withColumn(SLICE, F.col(SLICE) * F.lit(len(cuts.second) + 2) + inside).drop("_pos2", "_sub")
+            out = out.withColumn(SLICE, F.col(SLICE) * F.lit(len(cuts.second) + 3) + inside).drop("_pos2", "_sub")
         out = out.drop("_pos")
         if self.heavy is not None:
             marked = F.broadcast(self.heavy.withColumn("_heavy", F.lit(True)))
@@ -188,5 +185,5 @@ class SlicedOrder:
         are shuffled once, for the window; beyond it this is a shuffle join.
         """
         keys = self.heavy_keys if self.keys else 1
-        values = keys * (len(self._cuts.first) + 2) * (len(self._cuts.second) + 2)
+        values = keys * (len(self._cuts.first) + 2 + len(self._cuts.tied) * (len(self._cuts.second) + 1))
         return join_on(sliced, F.broadcast(small) if values <= BROADCAST_VALUES else small, [*self.keys, SLICE])

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from math import gcd
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemill.functions.times import minute_label
+from tidemill.operators.aggregates import combine_groups
 from tidemill.operators.running import number_rows
 
 _MERGE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
@@ -109,36 +111,19 @@ def window_apply(
     ts: str,
     size: str,
     keys: Sequence[str],
-    function: Callable[[pd.DataFrame], pd.DataFrame],
+    combine: Callable[[pd.DataFrame], pd.DataFrame],
     schema: str,
 ) -> DataFrame:
-    """A user function over the rows of whole (key, window) groups as pandas, for what aggregates cannot say.
+    """A user function over the rows of each (key, window), for what aggregates cannot say.
 
-    ``function`` gets the rows of many complete groups at once, with ``window_start`` and ``window_end``, so it can work on
-    all of them in vectorized form. One group must fit a task; a function of counts, sums or extremes belongs in
-    ``tumbling``, which combines early.
+    ``combine`` sees every row of a window together with key, ``window_start`` and ``window_end``, in pieces: it reduces
+    rows to fewer rows per window and is applied again to its own results (see ``combine_groups``), so that a window with a
+    third of all rows needs no task that holds them. ``df`` brings the columns of ``schema`` except the window bounds.
     """
-    flat = df.withColumn("_w", F.window(ts, size)).select(
-        *df.columns,
-        F.col("_w.start").alias("window_start"),
-        F.col("_w.end").alias("window_end"),
-        F.xxhash64(*keys, "_w.start").alias("_group"),
-    )
-
-    def whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []  # rows of the group still open at the end of the last batch
-        for batch in batches:
-            open_group = batch["_group"].to_numpy() == batch["_group"].iloc[-1]
-            if not open_group.all() or (held and held[0]["_group"].iloc[0] != batch["_group"].iloc[-1]):
-                done = pd.concat([*held, batch[~open_group]])
-                held = []
-                yield function(done.drop(columns="_group"))
-            held.append(batch[open_group])
-        if held:
-            yield function(pd.concat(held).drop(columns="_group"))
-
-    laid_out = flat.repartition("_group").sortWithinPartitions("_group")
-    return laid_out.mapInPandas(whole_groups, schema)
+    names = [f.name for f in StructType.fromDDL(schema)]
+    bounds = {"window_start": F.col("_w.start"), "window_end": F.col("_w.end")}
+    flat = df.withColumn("_w", F.window(ts, size)).withColumns(bounds).select(*names)
+    return combine_groups(flat, [*keys, "window_start"], combine, schema)
 
 
 def minute_traffic(df: DataFrame, ts: str, domain: str, traffic: Column, size: str = "60 seconds") -> DataFrame:
