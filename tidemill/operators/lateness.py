@@ -25,7 +25,7 @@ def classify_arrivals(
     """Add ``window_start``, ``window_end`` (epoch seconds) and ``arrival_class``; all rows share one watermark."""
     at = F.unix_micros(F.col(ts).cast("timestamp"))
     seen = running(df.withColumn("_at", at), [], arrival, [Running("_high", "max", F.col("_at"), inclusive=False)])
-    start = F.floor(F.col("_at") / F.lit(size_s * 1_000_000)).cast("long") * size_s
+    start = F.timestamp_micros(F.col("_at") - F.pmod(F.col("_at"), F.lit(size_s * 1_000_000)))
     mark = F.col("_high") - F.lit(delay_s * 1_000_000)
     end = (F.col("window_start") + size_s) * 1_000_000
     verdict = (
@@ -33,7 +33,7 @@ def classify_arrivals(
         .when(mark < end + lateness_s * 1_000_000, "late_refire")
         .otherwise("dropped")
     )
-    placed = seen.withColumn("window_start", start)
+    placed = seen.withColumn("window_start", F.unix_seconds(start))
     return placed.select(
         *df.columns, "window_start", (F.col("window_start") + size_s).alias("window_end"), verdict.alias("arrival_class")
     )

@@ -44,11 +44,16 @@ def running(
             for i, m in enumerate(measures)
         }
         rows = plan.attach(rows, plan.earlier(rows, totals))
-    out = {}
-    for i, m in enumerate(measures):
-        last = Window.currentRow if m.inclusive else -1
-        local = _AGG[m.how](f"_in{i}").over(plan.within().rowsBetween(Window.unboundedPreceding, last))
-        out[m.name] = _combine(m.how, local, F.col(f"_before{i}")) if plan.split else local
+    ends = [Window.currentRow if m.inclusive else -1 for m in measures]
+    local = {
+        f"_local{i}": _AGG[m.how](f"_in{i}").over(plan.within().rowsBetween(Window.unboundedPreceding, ends[i]))
+        for i, m in enumerate(measures)
+    }
+    rows = rows.withColumns(local)
+    out = {
+        m.name: _combine(m.how, F.col(f"_local{i}"), F.col(f"_before{i}")) if plan.split else F.col(f"_local{i}")
+        for i, m in enumerate(measures)
+    }
     kept = [c for c in df.columns if c not in out]
     return rows.select(*kept, *[c.alias(n) for n, c in out.items()])
 

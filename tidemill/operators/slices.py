@@ -169,9 +169,8 @@ class SlicedOrder:
 
     def earlier(self, sliced: DataFrame, totals: dict[str, tuple[Column, str]]) -> DataFrame:
         """Per (key, slice), the totals of all earlier slices. ``totals``: name -> (aggregate, "sum"|"max"|"min")."""
-        per_slice = sliced.where(F.col(SLICE) != WHOLE_KEY).groupBy(*self.keys, SLICE).agg(
-            *[agg.alias(name) for name, (agg, _) in totals.items()]
-        )
+        heavy = sliced.where(F.col(SLICE) != WHOLE_KEY) if self.keys else sliced
+        per_slice = heavy.groupBy(*self.keys, SLICE).agg(*[agg.alias(name) for name, (agg, _) in totals.items()])
         before = self.over_slices().rowsBetween(Window.unboundedPreceding, -1)
         merge = {"sum": F.sum, "max": F.max, "min": F.min}
         return per_slice.select(

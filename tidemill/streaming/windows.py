@@ -19,8 +19,9 @@ def stream_session_totals(stream: DataFrame, keys: Sequence[str], ts: str, gap_s
     """
     micros = round(gap_s * 1_000_000) - 1
     window = F.session_window(ts, f"{micros} microseconds").alias("session")
-    # a streaming session needs some key
-    summed = stream.groupBy(*(keys or [F.lit(0).alias("_all")]), window).agg(*aggregates)
+    # a streaming session needs a key, and a literal one would be optimized away
+    one_key = F.pmod(F.unix_micros(ts), F.lit(1)).alias("_all")
+    summed = stream.groupBy(*(keys or [one_key]), window).agg(*aggregates)
     end = F.col("session.end") + F.make_dt_interval(secs=F.lit(0.000001))
     rest = [c for c in summed.columns if c not in (*keys, "session", "_all")]
     return summed.select(*keys, F.col("session.start").alias("session_start"), end.alias("session_end"), *rest)
