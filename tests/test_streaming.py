@@ -6,13 +6,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from test_alarms import RACKS, readings, step_by_step
+from test_alarms import readings, step_by_step
 from tidemill.catalog.base import events
 from tidemill.functions.exact import cents
 from tidemill.functions.times import arrival_time
-from tidemill.operators.shape import union_all
 from tidemill.operators.sessions import session_totals
-from tidemill.operators.temporal import interval_join, window_join
+from tidemill.operators.shape import union_all
+from tidemill.operators.temporal import interval_join, stream_interval_join, window_join
 from tidemill.operators.windows import sliding, tumbling
 from tidemill.session import new_dir, shared_dir
 from tidemill.sinks.files import compact_buckets, stream_buckets, write_buckets
@@ -97,8 +97,6 @@ def test_stream_joins(spark, replay):
     want = window_join(side("view", False), side("click", False), ["user_id"], "ts", "10 hours").select(names)
     assert want.count() > 0 and rows(spark.read.parquet(target)) == rows(want)
 
-    from tidemill.operators.temporal import stream_interval_join
-
     names = ["user_id", "l_event_id", "r_event_id"]
     target, progress = places(spark, "interval")
     near = stream_interval_join(side("view", True), side("click", True), ["user_id"], "ts", -7200, 14400)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.catalog.base import events, query, sql_cents, sql_label, sql_money, sql_ts_label, sql_window, table
-from tidemill.functions.exact import cents, from_cents, money_sum
+from tidemill.functions.exact import cents, from_cents
 from tidemill.functions.times import ACCESS_LOG_TIME, second_label
 from tidemill.operators.aggregates import (
     approx_distinct,
@@ -20,6 +20,7 @@ from tidemill.operators.aggregates import (
 from tidemill.operators.running import change_log, running_distinct, running_sum
 from tidemill.operators.topn import first_n, first_n_per_group, hot_items
 from tidemill.plans.jobs import access_log, distinct_games, page_views, sales_by_customer
+from tidemill.session import new_dir
 from tidemill.sources.files import register
 
 
@@ -141,8 +142,6 @@ def _filtered_max_sql(spark: SparkSession, sf: str) -> DataFrame:
 @query("observed_count", "SELECT count(*) AS seen, count(*) AS written FROM events")
 def _observed_count(spark: SparkSession, sf: str) -> DataFrame:
     """Rows counted beside a write, next to the rows found in what was written."""
-    from tidemill.session import new_dir
-
     rows, seen = counted(events(spark, sf).select("event_id"), "seen")
     path = new_dir(spark, "observed")
     rows.write.parquet(path)
@@ -218,9 +217,17 @@ def _distinct_per_group(spark: SparkSession, sf: str) -> DataFrame:
     return distinct_count(events(spark, sf), ["event_type"], "user_id", "users")
 
 
-@query("approx_distinct")
+@query(
+    "approx_distinct",
+    "SELECT event_type, count(DISTINCT user_id) AS users, true AS close FROM events GROUP BY event_type",
+)
 def _approx_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    return approx_distinct(events(spark, sf), ["event_type"], "user_id", "users")
+    """The sketch next to the exact count, and whether it is within three standard errors of two per cent."""
+    rows = events(spark, sf).select("event_type", "user_id")
+    sketch = approx_distinct(rows, ["event_type"], "user_id", "about", 0.02)
+    both = distinct_count(rows, ["event_type"], "user_id", "users").join(sketch, "event_type")
+    close = F.abs(F.col("about") - F.col("users")) <= F.col("users") * 0.06 + 1
+    return both.select("event_type", "users", close.alias("close"))
 
 
 @query("first_n", "SELECT event_id, ts_label, value FROM (SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_label FROM events) ORDER BY event_id LIMIT 100")

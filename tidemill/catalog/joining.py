@@ -10,6 +10,7 @@ from tidemill.functions.exact import cents
 from tidemill.functions.times import second_label, to_millis
 from tidemill.operators.joins import cross_product, full_join, inner_join, left_join, lookup, pair_join, right_join
 from tidemill.operators.running import change_log
+from tidemill.operators.slices import SlicedOrder
 from tidemill.operators.temporal import interval_join, session_join, snapshot_lookup, version_at, window_join
 from tidemill.plans.jobs import orders_in_rate, traffic_lines, traffic_with_user
 from tidemill.session import new_dir
@@ -167,7 +168,9 @@ def _join_changelog(spark: SparkSession, sf: str) -> DataFrame:
     idn = F.col("c_custkey").cast("string").alias("idn")
     out = [F.col("o_orderkey").alias("id"), idn, F.col("o_orderpriority"), F.col("o_totalprice")]
     joined = left_join(_orders(spark, sf), _rich(spark, sf), _KEY, out).withColumn("c", cents(F.col("o_totalprice")))
-    logged = change_log(joined.drop("o_totalprice"), ["o_orderpriority"], ["id"], F.col("c"), "total")
+    # the join keeps every order once, so the slices can be planned on the orders alone
+    plan = SlicedOrder(_orders(spark, sf).withColumnRenamed("o_orderkey", "id"), ["o_orderpriority"], ["id"])
+    logged = change_log(joined.drop("o_totalprice"), ["o_orderpriority"], ["id"], F.col("c"), "total", plan)
     return logged.drop("c")
 
 

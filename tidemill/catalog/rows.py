@@ -437,6 +437,10 @@ def _student_rows(spark: SparkSession, sf: str) -> DataFrame:
 # Layout: the rows stay the same, and the property of the layout is reported beside them.
 
 
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query("sorted_partitions", "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem")
 def _sorted_partitions(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
@@ -448,7 +452,7 @@ def _sorted_partitions(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT l_suppkey, count(*) AS n, CAST(1 AS BIGINT) AS partitions FROM lineitem GROUP BY l_suppkey",
 )
 def _hash_parts(spark: SparkSession, sf: str) -> DataFrame:
-    placed = with_partition(hash_parts(table(spark, sf, "lineitem").select("l_suppkey"), 16, "l_suppkey"))
+    placed = with_partition(hash_parts(table(spark, sf, "lineitem").select("l_suppkey"), _partitions(spark), "l_suppkey"))
     return placed.groupBy("l_suppkey").agg(
         F.count("*").alias("n"), F.count_distinct("partition").alias("partitions")
     )
@@ -456,17 +460,18 @@ def _hash_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("range_parts", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS overlaps FROM lineitem")
 def _range_parts(spark: SparkSession, sf: str) -> DataFrame:
-    placed = with_partition(range_parts(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), 16, "l_orderkey"))
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    placed = with_partition(range_parts(rows, _partitions(spark), "l_orderkey", "l_linenumber"))
     ends = rows_by_partition(placed, F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi"))
     later = ends.select(F.col("partition").alias("p2"), F.col("lo").alias("lo2"))
     found = ends.join(later, F.col("p2") == F.col("partition") + 1, "left")
-    return found.agg(F.sum("n").alias("n"), F.count(F.when(F.col("lo2") <= F.col("hi"), 1)).alias("overlaps"))
+    return found.agg(F.sum("n").alias("n"), F.count(F.when(F.col("lo2") < F.col("hi"), 1)).alias("overlaps"))
 
 
 @query("even_parts", "SELECT count(*) AS n, true AS even FROM lineitem WHERE l_quantity > 8")
 def _even_parts(spark: SparkSession, sf: str) -> DataFrame:
     kept = table(spark, sf, "lineitem").where(F.col("l_quantity") > 8).select("l_orderkey")
-    sizes = rows_by_partition(with_partition(even_parts(kept, 16)))
+    sizes = rows_by_partition(with_partition(even_parts(kept, _partitions(spark))))
     even = F.max("n") - F.min("n") <= F.sum("n") / 100 + 16
     return sizes.agg(F.sum("n").alias("n"), even.alias("even"))
 

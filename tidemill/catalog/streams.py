@@ -131,7 +131,23 @@ def _stream_seen_items(spark: SparkSession, sf: str) -> DataFrame:
     return current_rows(spark, target, ["user_id"])
 
 
-@query("stream_alarms")
+@query(
+    "stream_alarms",
+    """
+    WITH RECURSIVE h AS (SELECT user_id AS k, event_id, epoch_us(ts) // 1000 AS ms, value FROM events WHERE value >= 60),
+    a AS (
+        SELECT k, min(event_id) AS id, min(ms) AS opened FROM h GROUP BY k
+        UNION ALL
+        SELECT n.k, n.id, n.ms FROM (
+            SELECT a.k, min(h.event_id) AS id, min(h.ms) AS ms FROM a JOIN h
+              ON h.k = a.k AND h.ms > a.opened + 86400000 GROUP BY a.k) n),
+    w AS (
+        SELECT a.k, a.opened, max(h.value) FILTER (h.event_id = a.id) AS first_value, max(h.value) AS peak_value
+        FROM a JOIN h ON h.k = a.k AND h.ms BETWEEN a.opened AND a.opened + 86400000 GROUP BY a.k, a.opened)
+    SELECT k AS user_id, opened AS opened_ms, first_value, peak_value, opened + 86400000 AS alarm_ms FROM w
+    WHERE peak_value > first_value AND opened + 86400000 <= (SELECT max(epoch_us(ts)) // 1000 FROM events)
+    """,
+)
 def _stream_alarms(spark: SparkSession, sf: str) -> DataFrame:
     """Alarms of a keyed list state with timers, per user; watches still open at the end stay unreported."""
     target, progress = _paths(spark, "alarms")

@@ -23,7 +23,8 @@ def fields(line: Column, separator: str, drop_trailing_empty: bool = True) -> Co
     """
     literal = re.escape(separator)
     if drop_trailing_empty:
-        line = F.regexp_replace(line, f"({literal})+$", "")
+        single = len(separator) == 1
+        line = F.rtrim(line, F.lit(separator)) if single else F.regexp_replace(line, f"({literal})+$", "")
     return F.split(line, literal)
 
 

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators.layout import row_salt
+
 BROADCAST_ROWS = 100_000
 
 
@@ -71,7 +73,7 @@ def cross_product(left: DataFrame, right: DataFrame, blocks: int = 64) -> DataFr
     small = broadcast_if_small(right, 10_000)
     if small is not right:
         return left.join(small)
-    dealt = left.withColumn("_block", F.pmod(F.xxhash64(*left.columns), F.lit(blocks)))
+    dealt = left.withColumn("_block", row_salt(left, blocks))
     copied = right.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
         "_block", F.col("_block").cast("long")
     )

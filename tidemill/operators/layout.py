@@ -18,10 +18,17 @@ def hash_parts(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     return df.repartition(partitions, *keys)
 
 
+def row_salt(df: DataFrame, salts: int) -> Column:
+    """A number below ``salts`` per row. It depends on the row and its partition only, so a task that runs again gives the
+    same numbers, and copies of one row in different partitions are spread.
+    """
+    return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(salts))
+
+
 def salted_parts(df: DataFrame, partitions: int, salts: int, *keys: str) -> DataFrame:
     """Like ``hash_parts`` but each key is spread over up to ``salts`` partitions."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
-    return df.repartition(partitions, *[F.col(k) for k in keys], salt)
+    salted = df.withColumn("_salt", row_salt(df, salts))
+    return salted.repartition(partitions, *keys, "_salt").drop("_salt")
 
 
 def range_parts(df: DataFrame, partitions: int, *order: str) -> DataFrame:
@@ -46,6 +53,6 @@ def rows_by_partition(tagged: DataFrame, *extra: Column, name: str = "partition"
 
 def salted_totals(df: DataFrame, keys: Sequence[str], salts: int, sums: dict[str, Column]) -> DataFrame:
     """Sums per key in two steps, for inputs whose map-side combining does little (many keys per task, one of them heavy)."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).alias("_salt")
-    halfway = df.groupBy(*keys, salt).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    salted = df.withColumn("_salt", row_salt(df, salts))
+    halfway = salted.groupBy(*keys, "_salt").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     return halfway.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in sums])

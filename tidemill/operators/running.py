@@ -76,7 +76,14 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     return running(df, keys, order, [Running(name, "sum", value)])
 
 
-def change_log(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
+def change_log(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: Column,
+    name: str,
+    plan: SlicedOrder | None = None,
+) -> DataFrame:
     """Each update of a key's total as a retraction of the old total and an addition of the new one.
 
     ``op`` is false for the retracted and true for the added value; a key's first row only adds.
@@ -86,6 +93,7 @@ def change_log(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         keys,
         order,
         [Running("_total", "sum", F.col("_v")), Running("_n", "count")],
+        plan,
     )
     old = F.when(F.col("_n") > 1, F.struct(F.lit(False).alias("op"), (F.col("_total") - F.col("_v")).alias(name)))
     new = F.struct(F.lit(True).alias("op"), F.col("_total").alias(name))

@@ -43,11 +43,6 @@ def slice_count(df: DataFrame, rows: int) -> int:
     return max(1, min(wanted, MAX_SLICES, rows or 1))
 
 
-def same_key(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Null-safe equality on all of ``names``."""
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
-
-
 def join_on(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "left") -> DataFrame:
     """Null-safe equi-join that keeps one copy of the key columns."""
     renamed = right.withColumnsRenamed({n: f"_r_{n}" for n in names})

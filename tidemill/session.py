@@ -51,7 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     A local session may leave it unset (tests do); then one is made and remembered.
     """
-    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext._conf.get(CHECKPOINT_DIR, None)
+    named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
