@@ -20,7 +20,12 @@ from tidemill.sinks.ledger import Ledger
 from tidemill.sources.files import stream_lines
 from tidemill.sources.messages import from_offsets, json_values, replay_messages
 from tidemill.streaming.runs import append_files, current_rows, for_each_batch, stream_table, update_files, with_event_time
-from tidemill.streaming.stateful import stream_distinct, stream_rising_alarms, stream_running_total
+from tidemill.streaming.stateful import (
+    stream_change_log,
+    stream_distinct,
+    stream_rising_alarms,
+    stream_running_total,
+)
 from tidemill.streaming.windows import stream_distinct_rows, stream_session_totals, stream_word_windows
 
 
@@ -134,6 +139,17 @@ def test_keyed_state(spark, replay):
     assert rows(current_rows(spark, target, ["user_id"])) == rows(want)
 
 
+def test_change_log_of_a_stream(spark, replay):
+    target, progress = places(spark, "changes")
+    stream = stream_table(spark, replay, 1).select("event_type", cents(F.col("value")).alias("c"))
+    append_files(stream_change_log(stream, "event_type", "c"), target, progress)
+    log = spark.read.parquet(target)
+    assert log.where("not op").count() == log.where("op").count() - log.select("event_type").distinct().count() > 0
+    left = log.groupBy("event_type").agg(F.sum(F.when(F.col("op"), F.col("total")).otherwise(-F.col("total"))))
+    want = spark.read.parquet(replay).groupBy("event_type").agg(F.sum(cents(F.col("value"))))
+    assert rows(left) == rows(want)
+
+
 @pytest.mark.parametrize("reset", [False, True])
 def test_alarm_stream_matches_the_rule(spark, reset):
     rng = random.Random(4)

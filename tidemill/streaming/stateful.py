@@ -29,6 +29,18 @@ class RunningTotal(StatefulProcessor):
         yield pd.DataFrame({self.key: [key[0]], "total": [total], "n": [n]})
 
 
+class TotalChanges(RunningTotal):
+    """The same state, as a change log: per key and micro-batch the old total is retracted and the new one added."""
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = self.total.exists()
+        old = self.total.get()[0] if known else None
+        for new in super().handleInputRows(key, rows, timerValues):
+            changes = [(key[0], False, old)] if known else []
+            changes.append((key[0], True, int(new["total"].iloc[0])))
+            yield pd.DataFrame(changes, columns=[self.key, "op", "total"])
+
+
 class SeenItems(StatefulProcessor):
     """Map state of a key's items and their counts; emits how many distinct ones there are after each micro-batch."""
 
@@ -127,6 +139,18 @@ def stream_running_total(stream: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
+def stream_change_log(stream: DataFrame, key: str, value: str) -> DataFrame:
+    """Per micro-batch the changes of the totals of each key that got rows: ``key, op, total``."""
+    use_rocksdb(stream.sparkSession)
+    return (
+        stream.select(key, value)
+        .groupBy(key)
+        .transformWithStateInPandas(
+            TotalChanges(key, value), f"{_key_type(stream, key)}, op boolean, total long", "Append", "None"
+        )
+    )
+
+
 def stream_distinct(stream: DataFrame, key: str, item: str) -> DataFrame:
     """Per micro-batch the distinct items so far of each key that got rows."""
     use_rocksdb(stream.sparkSession)
