@@ -5,11 +5,13 @@ from tidemill.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from tidemill.llm.line_dedup import OP3_SQL, op3_line_dedup
 from tidemill.llm.quality import op10_quality
 from tidemill.llm.simhash import op6_simhash
+from tidemill.llm.toxicity import op4_toxicity
 from tidemill.llm.url_filter import OP1_SQL, op1_url_filter
 
 QUERIES: dict[str, LlmQuery] = {
     "op1_url_filter": LlmQuery(op1_url_filter, OP1_SQL),
     "op3_line_dedup": LlmQuery(op3_line_dedup, OP3_SQL),
+    "op4_toxicity": LlmQuery(op4_toxicity, None),
     "op6_simhash": LlmQuery(op6_simhash, None),
     "op7_exact_dedup": LlmQuery(op7_exact_dedup, OP7_SQL),
     "op10_quality": LlmQuery(op10_quality, None),
