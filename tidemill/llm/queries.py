@@ -3,6 +3,7 @@
 from tidemill.llm.common import LlmQuery
 from tidemill.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from tidemill.llm.line_dedup import OP3_SQL, op3_line_dedup
+from tidemill.llm.pii import op9_pii
 from tidemill.llm.quality import op10_quality
 from tidemill.llm.simhash import op6_simhash
 from tidemill.llm.toxicity import op4_toxicity
@@ -14,5 +15,6 @@ QUERIES: dict[str, LlmQuery] = {
     "op4_toxicity": LlmQuery(op4_toxicity, None),
     "op6_simhash": LlmQuery(op6_simhash, None),
     "op7_exact_dedup": LlmQuery(op7_exact_dedup, OP7_SQL),
+    "op9_pii": LlmQuery(op9_pii, None),
     "op10_quality": LlmQuery(op10_quality, None),
 }
