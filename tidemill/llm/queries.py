@@ -4,6 +4,7 @@ from tidemill.llm.common import LlmQuery
 from tidemill.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from tidemill.llm.line_dedup import OP3_SQL, op3_line_dedup
 from tidemill.llm.packing import op8_packing
+from tidemill.llm.pieces import op2_pieces
 from tidemill.llm.pii import op9_pii
 from tidemill.llm.quality import op10_quality
 from tidemill.llm.simhash import op6_simhash
@@ -13,6 +14,7 @@ from tidemill.llm.vector_search import OP5_SQL, op5_vector_search
 
 QUERIES: dict[str, LlmQuery] = {
     "op1_url_filter": LlmQuery(op1_url_filter, OP1_SQL),
+    "op2_pieces": LlmQuery(op2_pieces, None),
     "op3_line_dedup": LlmQuery(op3_line_dedup, OP3_SQL),
     "op4_toxicity": LlmQuery(op4_toxicity, None),
     "op5_vector_search": LlmQuery(op5_vector_search, OP5_SQL),
