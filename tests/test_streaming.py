@@ -19,7 +19,16 @@ from tidemill.sinks.files import compact_buckets, stream_buckets, write_buckets
 from tidemill.sinks.ledger import Ledger
 from tidemill.sources.files import stream_lines
 from tidemill.sources.messages import from_offsets, json_values, replay_messages
-from tidemill.streaming.runs import append_files, current_rows, for_each_batch, stream_table, update_files, with_event_time
+from tidemill.streaming.runs import (
+    ForeignTarget,
+    append_files,
+    compact_updates,
+    current_rows,
+    for_each_batch,
+    stream_table,
+    update_files,
+    with_event_time,
+)
 from tidemill.streaming.stateful import (
     stream_change_log,
     stream_distinct,
@@ -61,7 +70,7 @@ def test_windows_over_batches(spark, replay):
         target, progress = places(spark, label)
         stream = with_event_time(stream_table(spark, replay, 1), "ts", "10 seconds")
         update_files(sums(stream, window), target, progress)
-        assert len(glob.glob(f"{target}/batch_id=*")) >= 4
+        assert len(glob.glob(f"{target}/query_id=*/batch_id=*")) >= 4
         want = sums(spark.read.parquet(replay), window)
         assert rows(current_rows(spark, target, ["window_start", "event_type"])) == rows(want)
 
@@ -178,7 +187,7 @@ def test_resume_after_a_failed_batch(spark, replay):
         if batch_id == 1 and not failures:
             failures.append(batch_id)
             raise RuntimeError("lost")
-        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{target}/query_id=one/batch_id={batch_id}")
 
     counts = stream_table(spark, replay, 1).groupBy("event_type").agg(F.count("*").alias("n"))
     with pytest.raises(Exception, match="lost"):
@@ -197,17 +206,48 @@ def test_ledger(spark, replay):
     def fail(batch_id):
         raise RuntimeError("before commit")
 
-    ledger.write(half, 0)
+    ledger.write(half, 0, "one")
     with pytest.raises(RuntimeError):
-        ledger.write(rest, 1, before_commit=fail)
+        ledger.write(rest, 1, "one", before_commit=fail)
     assert rows(ledger.rows(spark).select("event_id")) == rows(half.select("event_id"))  # nothing of batch 1 shows
-    ledger.write(rest, 1)
+    ledger.write(rest, 1, "one")
     once = rows(ledger.rows(spark).select("event_id"))
     assert once == rows(batch.select("event_id"))
-    ledger.write(rest, 1)
-    ledger.write(half, 0)
+    ledger.write(rest, 1, "one")
+    ledger.write(half, 0, "one")
     assert rows(ledger.rows(spark).select("event_id")) == once
     assert ledger.committed(spark).count() == 2
+    with pytest.raises(ForeignTarget):
+        ledger.write(half, 0, "two")
+    moved = ledger.compact(spark, new_dir(spark, "compact"))
+    moved.write(rest, 1, "one")
+    assert rows(moved.rows(spark).select("event_id")) == once and moved.committed(spark).count() == 2
+
+
+def test_two_queries_on_one_target(spark, replay):
+    """Batch numbers meet; neither query may hide or replace the other one's rows, nor may a renewed checkpoint."""
+    events = stream_table(spark, replay, 2).select("event_id", "user_id")
+    even, odd = events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1")
+    everything = rows(spark.read.parquet(replay).select("event_id"))
+    base = new_dir(spark, "two")
+    ledger = Ledger(f"{base}/ledger", shared=True)
+    for name, stream in (("a", even), ("b", odd), ("a", even)):  # the first comes again with its old checkpoint
+        ledger.drain(stream, f"{base}/{name}")
+    assert rows(ledger.rows(spark).select("event_id")) == everything
+    with pytest.raises(Exception, match="shared"):
+        Ledger(f"{base}/ledger").drain(even, f"{base}/renewed")
+
+    target = f"{base}/updates"
+    update_files(even, target, f"{base}/c")
+    with pytest.raises(ForeignTarget):
+        update_files(odd, target, f"{base}/d")
+    update_files(odd, target, f"{base}/d", shared=True)
+    update_files(even, target, f"{base}/e", shared=True)  # a renewed checkpoint writes its rows once more
+    assert rows(current_rows(spark, target, ["event_id"]).select("event_id")) == everything
+    compact_updates(spark, target, f"{base}/small", ["event_id"])
+    assert spark.read.parquet(f"{base}/small").count() == len(everything)
+    update_files(odd, f"{base}/small", f"{base}/d", shared=True)
+    assert rows(current_rows(spark, f"{base}/small", ["event_id"]).select("event_id")) == everything
 
 
 def test_replayed_messages(spark):

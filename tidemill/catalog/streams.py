@@ -14,16 +14,28 @@ from tidemill.operators.windows import tumbling
 from tidemill.plans.jobs import json_messages
 from tidemill.session import new_dir, use_utc
 from tidemill.sinks.ledger import Ledger
-from tidemill.streaming.runs import append_files, current_rows, stream_table, update_files, with_event_time
+from tidemill.streaming.runs import append_files, compact_updates, current_rows, query_id, stream_table, update_files, with_event_time
 from tidemill.streaming.stateful import stream_distinct, stream_rising_alarms
 from tidemill.streaming.windows import stream_distinct_rows, stream_session_totals, stream_totals, stream_word_windows
 
 _C = sql_cents("value")
 
 
-def _events(spark: SparkSession, sf: str) -> DataFrame:
-    # a pattern, because a file stream takes a folder or a pattern but not the path of one file
-    return stream_table(use_utc(spark), f"{sf}/events.parquet*")
+_FILES = 4
+
+
+def _events(spark: SparkSession, sf: str, late: bool = False) -> DataFrame:
+    """The events as files that come one per batch: in time order, or with the second file last."""
+    path = new_dir(use_utc(spark), "arrivals")
+    rows = table(spark, sf, "events")
+    # event times rise with the ids; the source reads files in the order they were written
+    span = rows.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    step = (span["hi"] - span["lo"]) // _FILES + 1
+    for no in ([0, 2, 3, 1] if late else range(_FILES)):
+        first = span["lo"] + no * step
+        part = rows.where((F.col("event_id") >= first) & (F.col("event_id") < first + step))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return stream_table(spark, path, files_per_batch=1)
 
 
 def _paths(spark: SparkSession, label: str) -> tuple[str, str]:
@@ -119,7 +131,7 @@ def _stream_state(spark: SparkSession, sf: str) -> DataFrame:
     """The running reduce per key; each batch writes the new value of the keys it touched."""
     target, progress = _paths(spark, "totals")
     sums = [F.sum(cents(F.col("value"))).alias("total"), F.count("*").alias("n")]
-    update_files(stream_totals(_events(spark, sf), ["user_id"], *sums), target, progress)
+    update_files(stream_totals(_events(spark, sf, late=True), ["user_id"], *sums), target, progress)
     return current_rows(spark, target, ["user_id"])
 
 
@@ -127,7 +139,7 @@ def _stream_state(spark: SparkSession, sf: str) -> DataFrame:
 def _stream_seen_items(spark: SparkSession, sf: str) -> DataFrame:
     """A keyed map state of the items seen."""
     target, progress = _paths(spark, "items")
-    update_files(stream_distinct(_events(spark, sf), "user_id", "event_type"), target, progress)
+    update_files(stream_distinct(_events(spark, sf, late=True), "user_id", "event_type"), target, progress)
     return current_rows(spark, target, ["user_id"])
 
 
@@ -171,14 +183,26 @@ def _stream_resume(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("sink_ledger", f"SELECT event_id, user_id, {_C} AS c FROM events")
 def _sink_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    """JSON messages to a table with all-or-nothing batches; the first batch is sent twice."""
+    """JSON messages of two sources to one table with all-or-nothing batches; each query comes again with its checkpoint."""
     base = new_dir(spark, "ledger")
-    ledger = Ledger(f"{base}/table")
-
-    def parsed(df: DataFrame) -> DataFrame:
-        rows = df.select("event_id", "user_id", cents(F.col("value")).alias("c"))
-        return json_fields(json_messages(rows, "event_id", "user_id", "c"), "value", "event_id long, user_id long, c long")
-
-    ledger.drain(parsed(_events(spark, sf)), f"{base}/progress")
-    ledger.write(parsed(table(spark, sf, "events")), 0)
-    return ledger.rows(spark).drop("batch_id")
+    ledger = Ledger(f"{base}/table", shared=True)
+    rows = _events(spark, sf).select("event_id", "user_id", cents(F.col("value")).alias("c"))
+    sent = json_messages(rows, "event_id", "user_id", "c")
+    parsed = json_fields(sent, "value", "event_id long, user_id long, c long")
+    for half in (0, 1, 0, 1):
+        ledger.drain(parsed.where(F.col("event_id") % 2 == half), f"{base}/progress-{half}")
+    ledger.write(ledger.rows(spark).where("batch_id = 0"), 0, query_id(spark, f"{base}/progress-0"))
+    return ledger.rows(spark).drop("query_id", "batch_id")
+
+
+@query("update_two_queries", f"SELECT user_id, event_type, CAST(sum({_C}) AS BIGINT) AS total, count(*) AS n FROM events GROUP BY ALL")
+def _update_two_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Two queries with batches of equal numbers keep one table up to date, which is then compacted."""
+    base = new_dir(spark, "shared")
+    sums = [F.sum(cents(F.col("value"))).alias("total"), F.count("*").alias("n")]
+    keys = ["user_id", "event_type"]
+    for half in (0, 1):
+        rows = _events(spark, sf).where(F.col("user_id") % 2 == half)
+        update_files(stream_totals(rows, keys, *sums), f"{base}/table", f"{base}/progress-{half}", shared=True)
+    compact_updates(spark, f"{base}/table", f"{base}/compact", keys)
+    return current_rows(spark, f"{base}/compact", keys)
