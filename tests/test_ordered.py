@@ -1,13 +1,22 @@
 """Ordered passes against plain Python, with heavy keys, ties and nulls, so that slices are really used."""
 
+import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators.running import Running, change_log, number_rows, running, running_distinct, running_sum
 from tidemill.operators.sessions import label_sessions, session_totals
-from tidemill.operators.slices import SLICE, SlicedOrder
+from tidemill.operators.slices import ROWS_PER_SLICE, SLICE, SlicedOrder
+
+
+@pytest.fixture(autouse=True)
+def small_slices(spark):
+    spark.conf.set(ROWS_PER_SLICE, "40")
+    yield
+    spark.conf.unset(ROWS_PER_SLICE)
 
 
 def skewed_rows(n=600, seed=3):
@@ -61,6 +70,45 @@ def test_ties_on_the_first_order_column(spark):
     assert got == {row: i + 1 for i, row in enumerate(sorted(rows))}
 
 
+def as_type(kind, i):
+    """Distinct values that rise with ``i`` in the order Spark gives the type."""
+    return {
+        "text": f"a common beginning of all {i:05d}",
+        "words": ["", "B", "a", "aa", "ab\x00", "b" * 30, "é", "ünder", "日本", "\U0001f600"][i % 10] if i < 10 else f"\U0001f600{i:04d}",
+        "nanos": 1_700_000_000_000_000_000 + i * 3,
+        "low": -(2**63) + i,
+        "date": dt.date(2020, 1, 1) + dt.timedelta(days=i),
+        "decimal": Decimal(10**25 + i) / 100,
+        "instant": dt.datetime(2024, 1, 1) + dt.timedelta(microseconds=i),
+        "flag": i,
+    }[kind]
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+@pytest.mark.parametrize("kind", ["text", "words", "nanos", "low", "date", "decimal", "instant"])
+@pytest.mark.parametrize("repeats", [1, 60])
+def test_any_sortable_order(spark, kind, keys, repeats):
+    """One key holds most rows; values repeat, and the second column goes against the first one's near ties."""
+    types = {"text": "string", "words": "string", "nanos": "long", "low": "long", "date": "date", "decimal": "decimal(38,2)", "instant": "timestamp"}
+    n = 420
+    data = [("hot" if i % 6 else f"k{i % 4}", as_type(kind, i // repeats), n - i) for i in range(n)]
+    df = spark.createDataFrame(data, f"k string, at {types[kind]}, i long").repartition(5)
+    assert SlicedOrder(df, keys, ["at", "i"]).split
+    got = {r["i"]: r["rn"] for r in number_rows(df, keys, ["at", "i"]).collect()}
+    want, seen = {}, {}
+    for k, _, i in sorted(data, key=lambda r: (r[1].encode() if isinstance(r[1], str) else r[1], r[2])):
+        seen[k if keys else 0] = seen.get(k if keys else 0, 0) + 1
+        want[i] = seen[k if keys else 0]
+    assert got == want
+
+
+def test_texts_outside_the_planned_range(spark):
+    planned = spark.createDataFrame([(f"pre{i:04d}",) for i in range(200)], "at string")
+    used = spark.createDataFrame([(t,) for t in ("a", "pre", "prd9", "pre0005", "pre9", "q", "pre0100")], "at string")
+    got = running(used, [], ["at"], [Running("n", "count")], SlicedOrder(planned, [], ["at"])).collect()
+    assert [r["at"] for r in sorted(got, key=lambda r: r["n"])] == ["a", "prd9", "pre", "pre0005", "pre0100", "pre9", "q"]
+
+
 def test_rows_without_a_position_come_last(spark):
     rows = [(i if i % 5 else None, i) for i in range(200)]
     df = spark.createDataFrame(rows, "at long, id long").repartition(5)

@@ -27,7 +27,7 @@ SLICE = "_slice"
 WHOLE_KEY = -1
 
 ROWS_PER_SLICE = "spark.tidemill.rowsPerSlice"
-DEFAULT_ROWS_PER_SLICE = 1_000_000
+DEFAULT_ROWS_PER_SLICE = 250_000
 # Cut points and heavy keys are held as literals in the plan, so their number is bounded. Beyond the bound slices
 # grow in rows; the windows over them sort and spill.
 MAX_SLICES = 8192
@@ -35,12 +35,13 @@ _SAMPLED_PER_SLICE = 200
 BROADCAST_VALUES = 500_000
 
 
+def rows_per_slice(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(ROWS_PER_SLICE, str(DEFAULT_ROWS_PER_SLICE)))
+
+
 def slice_count(df: DataFrame, rows: int) -> int:
-    """Slices wanted for ``rows`` rows: at least one per core, at most MAX_SLICES."""
-    spark = df.sparkSession
-    per_slice = int(spark.conf.get(ROWS_PER_SLICE, str(DEFAULT_ROWS_PER_SLICE)))
-    wanted = max(spark.sparkContext.defaultParallelism, math.ceil(rows / per_slice))
-    return max(1, min(wanted, MAX_SLICES, rows or 1))
+    """Slices for ``rows`` rows, at most MAX_SLICES: a table within one slice takes the plain window, which is cheaper."""
+    return max(1, min(math.ceil(rows / rows_per_slice(df)), MAX_SLICES))
 
 
 def join_on(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "left") -> DataFrame:
@@ -54,12 +55,60 @@ def ascending(order: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order]
 
 
-def _position(column: str, df: DataFrame) -> Column:
-    """The order column as a double; rounding is harmless because it keeps the order."""
-    kind = dict(df.dtypes)[column]
-    if kind in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    return F.col(column).cast("double")
+@dataclass(frozen=True)
+class _Axis:
+    """An order column as numbers that never go against its order.
+
+    ``position`` may give different values the same number (rounded longs, the first bytes of a text). ``finer`` tells
+    those apart: it orders the values of one position, and where ``exact`` a zero means one single value.
+    """
+
+    position: Column
+    finer: Column | None = None
+    exact: bool = False
+
+
+_TEXT_BYTES = 6  # of a text per number: 48 bits are exact in a double
+
+
+def _text_axis(column: str, df: DataFrame) -> _Axis:
+    """By the bytes after those that all texts of ``df`` begin with. Texts outside its range come before or after them all."""
+    ends = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
+    if ends["lo"] is None:
+        return _Axis(F.lit(None).cast("double"))
+    lo, hi = ends["lo"].encode(), ends["hi"].encode()
+    skip = next((i for i, (x, y) in enumerate(zip(lo, hi, strict=False)) if x != y), min(len(lo), len(hi)))
+
+    def number(start: int) -> Column:
+        # a text that ends earlier comes before all longer ones
+        digits = F.substring(F.hex(F.encode(column, "UTF-8")), 2 * start + 1, 2 * _TEXT_BYTES)
+        return F.conv(F.rpad(digits, 2 * _TEXT_BYTES, "0"), 16, 10).cast("double")
+
+    value = F.col(column)
+    below, above = value < F.lit(ends["lo"]), value > F.lit(ends["hi"])
+    position = F.when(below, -1.0).when(above, 2.0 ** (8 * _TEXT_BYTES)).otherwise(number(skip))
+    return _Axis(position, F.when(below | above, 0.0).otherwise(number(skip + _TEXT_BYTES)))
+
+
+def _axis(column: str, df: DataFrame) -> _Axis:
+    kind = df.schema[column].dataType.simpleString()
+    value = F.col(column)
+    if kind in ("timestamp", "timestamp_ntz", "bigint"):
+        whole = value if kind == "bigint" else F.unix_micros(value.cast("timestamp"))
+        rounded = whole.cast("double")
+        # the part that a double cannot hold, in decimals so that it cannot overflow
+        return _Axis(rounded, (whole.cast("decimal(38,0)") - rounded.cast("decimal(38,0)")).cast("double"), True)
+    if kind.startswith("decimal"):
+        return _Axis(value.cast("double"))
+    if kind in ("tinyint", "smallint", "int", "float", "double", "boolean"):
+        number = (value.cast("int") if kind == "boolean" else value).cast("double")
+        return _Axis(number, F.lit(0.0), True)
+    if kind == "date":
+        return _Axis(F.unix_date(value).cast("double"), F.lit(0.0), True)
+    if kind == "string":
+        return _text_axis(column, df)
+    # no number keeps the order of such a type: its rows stay in one slice
+    return _Axis(F.when(value.isNotNull(), F.lit(0.0)))
 
 
 def _bucket(df: DataFrame, source: str, target: str, cuts: Sequence[float]) -> DataFrame:
@@ -79,10 +128,27 @@ class _Cuts:
     heavy_ties: bool = False
 
 
-def _find_cuts(df: DataFrame, order: Sequence[str], n: int, rows: int) -> _Cuts:
-    """About ``n`` cut points on the first order column, and on the second one inside values that many rows share."""
+@dataclass(frozen=True)
+class _Inside:
+    """What orders the rows of one position further: ``side`` (negative, zero, positive), then ``place`` where it is zero."""
+
+    side: Column
+    place: Column | None
+
+
+def _inside(axes: Sequence[_Axis]) -> _Inside:
+    first = axes[0]
+    if first.exact:  # zero means one value, so the next column decides
+        return _Inside(first.finer, axes[1].position if len(axes) > 1 else None)
+    return _Inside(F.lit(0.0), first.finer)
+
+
+def _find_cuts(df: DataFrame, axes: Sequence[_Axis], n: int, rows: int) -> _Cuts:
+    """About ``n`` cut points on the first order column, and inside positions that many rows share."""
     fraction = min(1.0, _SAMPLED_PER_SLICE * n / max(rows, 1))
-    sampled = df.select(_position(order[0], df).alias("a"), *[_position(c, df).alias("b") for c in order[1:2]])
+    inside = _inside(axes)
+    place = [] if inside.place is None else [inside.place.alias("b")]
+    sampled = df.select(axes[0].position.alias("a"), inside.side.alias("side"), *place)
     if fraction < 1.0:
         sampled = sampled.sample(fraction, seed=7)
     steps = [i / n for i in range(1, n)]
@@ -91,13 +157,13 @@ def _find_cuts(df: DataFrame, order: Sequence[str], n: int, rows: int) -> _Cuts:
     found = sampled.agg(F.percentile_approx("a", steps, 10 * n).alias("q")).first()["q"] or []
     values, counts = np.unique(np.array(found, dtype="float64"), return_counts=True)
     heavy = bool((counts > 1).any())
-    tied = [float(v) for v in values[counts > 1]] if len(order) > 1 else []
+    tied = [float(v) for v in values[counts > 1]] if place else []
     if not tied:
         return _Cuts([float(v) for v in values], [], [], heavy)
-    # A tied value gets a slice range of its own, cut further by the tie-break column: one cut per slice's worth of rows.
+    # A tied value gets a slice range of its own, cut further by what comes next: one cut per slice's worth of rows.
     first = sorted({*map(float, values), *(float(np.nextafter(v, math.inf)) for v in tied)})
     per_slice = max(1, int(min(rows, _SAMPLED_PER_SLICE * n) / n))
-    numbered = sampled.where(F.col("a").isin(tied) & F.col("b").isNotNull()).withColumn(
+    numbered = sampled.where(F.col("a").isin(tied) & (F.col("side") == 0) & F.col("b").isNotNull()).withColumn(
         "rn", F.row_number().over(Window.partitionBy("a").orderBy("b"))
     )
     inner = numbered.where(F.col("rn") % per_slice == 0).select("b").distinct().collect()  # about n values at most
@@ -117,13 +183,14 @@ class SlicedOrder:
         else:
             rows, largest = self._largest_keys(df)
             n = slice_count(df, rows)
-            # A heavy key has more than rows/n rows, so there are fewer than n of them.
-            heavy = largest.filter(pc.field("_n") > rows / n).drop_columns(["_n"])
+            # Keys that one slice could not hold: fewer than there are slices.
+            heavy = largest.filter(pc.field("_n") > max(rows_per_slice(df), rows / MAX_SLICES)).drop_columns(["_n"])
             self.split = n > 1 and heavy.num_rows > 0
             if self.split:
                 self.heavy = df.sparkSession.createDataFrame(heavy, df.select(*self.keys).schema)
                 self.heavy_keys = heavy.num_rows
-        self._cuts = _find_cuts(df, self.order, n, rows) if self.split else None
+        self._axes = [_axis(c, df) for c in self.order[:2]] if self.split else []
+        self._cuts = _find_cuts(df, self._axes, n, rows) if self.split else None
 
     def _largest_keys(self, df: DataFrame) -> tuple[int, pa.Table]:
         """Row count of the table and, in the same pass, the MAX_SLICES keys with most rows."""
@@ -142,11 +209,14 @@ class SlicedOrder:
         if not self.split:
             return df.withColumn(SLICE, F.lit(WHOLE_KEY))
         cuts = self._cuts
-        out = _bucket(df.withColumn("_pos", _position(self.order[0], df)), "_pos", SLICE, cuts.first)
+        out = _bucket(df.withColumn("_pos", self._axes[0].position), "_pos", SLICE, cuts.first)
         if cuts.tied:
-            out = _bucket(out.withColumn("_pos2", _position(self.order[1], df)), "_pos2", "_sub", cuts.second)
-            inside = F.when(F.col("_pos").isin(cuts.tied), F.col("_sub")).otherwise(F.lit(0))
-            out = out.withColumn(SLICE, F.col(SLICE) * F.lit(len(cuts.second) + 3) + inside).drop("_pos2", "_sub")
+            inside = _inside(self._axes)
+            out = _bucket(out.withColumns({"_pos2": inside.place, "_side": inside.side}), "_pos2", "_sub", cuts.second)
+            last = len(cuts.second) + 4
+            placed = F.when(F.col("_side") < 0, 0).when(F.col("_side") > 0, last).otherwise(F.col("_sub") + 1)
+            within = F.when(F.col("_pos").isin(cuts.tied), placed).otherwise(F.lit(0))
+            out = out.withColumn(SLICE, F.col(SLICE) * F.lit(last + 1) + within).drop("_pos2", "_side", "_sub")
         out = out.drop("_pos")
         if self.heavy is not None:
             marked = F.broadcast(self.heavy.withColumn("_heavy", F.lit(True)))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.running import Running, running
 from tidemill.operators.sessions import label_sessions
-from tidemill.operators.slices import MAX_SLICES, _bucket, _position
+from tidemill.operators.slices import MAX_SLICES, _bucket
+from tidemill.session import written
 
 
 def _sided(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
@@ -91,19 +92,19 @@ def version_at(data: DataFrame, versions: DataFrame, ts: str, valid_from: str, n
     of the data and carried forward as a running maximum.
     """
     times = versions.select(F.col(valid_from).cast("timestamp").alias(valid_from)).where(F.col(valid_from).isNotNull()).distinct()
+    times = written(times, "versions")
+    at = F.col(ts).cast("timestamp")  # once, for both ways below
     if times.limit(MAX_SLICES + 1).count() <= MAX_SLICES:
-        found = sorted(
-            float(r["p"]) for r in times.select(_position(valid_from, times).alias("p")).collect()
-        )  # at most MAX_SLICES values
-        placed = _bucket(data.withColumn("_pos", _position(ts, data)), "_pos", "_no", found)
-        micros = F.try_element_at(F.lit([int(x) for x in found]), F.col("_no")) if found else F.lit(None).cast("long")
-        hit = F.when((F.col("_no") > 0) & F.col(ts).isNotNull(), F.timestamp_micros(micros))
+        found = sorted(r["p"] for r in times.select(F.unix_micros(valid_from).alias("p")).collect())  # at most MAX_SLICES values
+        placed = _bucket(data.withColumn("_pos", F.unix_micros(at).cast("double")), "_pos", "_no", [float(p) for p in found])
+        micros = F.try_element_at(F.lit(found), F.col("_no")) if found else F.lit(None).cast("long")
+        hit = F.when((F.col("_no") > 0) & at.isNotNull(), F.timestamp_micros(micros))
         return placed.select(*data.columns, hit.alias(name))
     marks = times.select(F.col(valid_from).alias("_at"), F.lit(0).alias("_row"), F.col(valid_from).alias("_valid"))
-    rows = data.withColumns({"_at": F.col(ts).cast("timestamp"), "_row": F.lit(1)})
+    rows = data.withColumns({"_at": at, "_row": F.lit(1)})
     merged = rows.unionByName(marks, allowMissingColumns=True)
     carried = running(merged, [], ["_at", "_row"], [Running(name, "max", F.col("_valid"))])
-    hit = F.when(F.col(ts).isNotNull(), F.col(name))
+    hit = F.when(at.isNotNull(), F.col(name))
     return carried.where(F.col("_row") == 1).select(*data.columns, hit.alias(name))
 
 
