@@ -322,7 +322,7 @@ def test_chain_uses_earlier_categories():
     first = rng.integers(0, 2, 600)
     rows = [np.array(sorted({int(rng.integers(10, 60)), 1 if f else 2})) for f in first]
     labels = np.stack([first, 1 - first], axis=1)
-    chain = toxicity.train_chain(rows, labels, ["one", "two"], features=1)
+    chain = toxicity.train_chain(rows, labels, ["one", "two"], [np.array([1]), np.array([10])])
     assert chain.links[1].earlier[0] != 0 and len(chain.links[0].earlier) == 0
     chain.links[1].weights.clear()
     chain = toxicity.Chain(chain.categories, chain.links)

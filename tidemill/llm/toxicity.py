@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,9 +30,10 @@ HASHES = 1 << 24
 
 _LEAST_ROWS = 3  # a selected feature occurs in so many training rows
 _STEPS = 150
-_CACHED_TOKENS = 300_000
+_CACHED_TOKENS = 200_000
 
 
+@lru_cache(_CACHED_TOKENS)
 def token_features(token: str) -> tuple[int, ...]:
     word = core(token)
     names = ["w" + word, "s" + shape(token)] + [f"p{word[:n]}" for n in (4, 5) if len(word) > n]
@@ -116,29 +118,35 @@ def _fit_linear(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _select(rows: list[np.ndarray], y: np.ndarray, n: int) -> np.ndarray:
-    """The features whose presence says most about ``y`` (largest chi-square)."""
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    of = np.repeat(y, [len(r) for r in rows]) if rows else flat
-    names, at = np.unique(flat, return_inverse=True)
-    seen = np.bincount(at, minlength=len(names)).astype(np.float64)
-    hit = np.bincount(at, weights=of, minlength=len(names))
-    total, ones = len(y), y.sum()
-    expected = seen * ones / max(total, 1)
-    spread = expected * (1 - ones / max(total, 1)) * (1 - seen / max(total, 1))
-    chi = np.where((seen >= _LEAST_ROWS) & (spread > 0), (hit - expected) ** 2 / np.where(spread > 0, spread, 1), 0)
-    best = np.lexsort((names, -chi))[:n]
-    return np.sort(names[best[chi[best] > 0]])
+def select_features(rows: DataFrame, categories: list[str], n: int = FEATURES) -> list[np.ndarray]:
+    """Per category the ``n`` features whose presence says most about it (largest chi-square), in order of their numbers.
+
+    ``rows`` has the distinct features ``x`` of each text and a 0/1 column per category; they are counted in Spark.
+    """
+    sums = [F.sum(F.col(f"`{c}`")).cast("double").alias(f"hit{i}") for i, c in enumerate(categories)]
+    totals = rows.agg(F.count(F.lit(1)).alias("n"), *sums).first()
+    total = max(totals["n"], 1)
+    seen = rows.select(F.explode("x").alias("f"), *(F.col(f"`{c}`") for c in categories)).groupBy("f")
+    counted = written(seen.agg(F.count(F.lit(1)).cast("double").alias("seen"), *sums).where(F.col("seen") >= _LEAST_ROWS), "features")
+    chosen = []
+    for i, _ in enumerate(categories):
+        share = (totals[f"hit{i}"] or 0) / total
+        expected = F.col("seen") * share
+        spread = expected * (1 - share) * (1 - F.col("seen") / total)
+        chi = counted.select("f", ((F.col(f"hit{i}") - expected) ** 2 / F.nullif(spread, F.lit(0.0))).alias("chi"))
+        best = chi.where("chi > 0").orderBy(F.desc("chi"), "f").limit(n).collect()
+        chosen.append(np.sort(np.array([r["f"] for r in best], np.int64)))
+    return chosen
 
 
-def train_chain(rows: list[np.ndarray], labels: np.ndarray, categories: list[str], features: int = FEATURES) -> Chain:
-    """``rows``: feature numbers of each text; ``labels``: a column per category."""
+def train_chain(rows: list[np.ndarray], labels: np.ndarray, categories: list[str], selected: list[np.ndarray]) -> Chain:
+    """``rows``: feature numbers of each text; ``labels``: a column per category; ``selected``: features per category."""
     earlier = np.zeros((len(rows), 0), np.float32)
     fold = np.arange(len(rows)) % FOLDS
     links = []
     for i, _ in enumerate(categories):
         y = labels[:, i].astype(np.float64)
-        chosen = _select(rows, y, features)
+        chosen = selected[i]
         x = np.zeros((len(rows), len(chosen)), np.float32)
         for r, found in enumerate(rows):
             x[r, np.searchsorted(chosen, np.intersect1d(found, chosen, assume_unique=True))] = 1
@@ -163,11 +171,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: list[str], rows
 
     schema = "x array<int>, doc_id long, " + ", ".join(f"`{c}` int" for c in categories)
     # At most ``rows`` ids: a few hundred kilobytes.
-    got = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").mapInPandas(features, schema).toPandas()
+    found = written(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").mapInPandas(features, schema), "toxicity-features")
+    selected = select_features(found, categories)
+    known = F.array(*map(F.lit, sorted({int(f) for chosen in selected for f in chosen}))).cast("array<int>")
+    # At most ``rows`` rows of the few selected features each.
+    got = found.withColumn("x", F.array_sort(F.array_intersect("x", known))).toPandas()
     order = np.lexsort((got["x"].map(len).to_numpy(), got["doc_id"].to_numpy()))
     mixed = order[np.random.default_rng(5).permutation(len(order))]
     rows_in = [np.asarray(got["x"][i], np.int64) for i in mixed]
-    return train_chain(rows_in, got[categories].to_numpy(np.int64)[mixed], categories)
+    return train_chain(rows_in, got[categories].to_numpy(np.int64)[mixed], categories, selected)
 
 
 def probabilities(text: Column, chain: Chain) -> Column:
