@@ -6,6 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators.alarms import rising_alarms
+from tidemill.operators.slices import ROWS_PER_SLICE
+
+
+@pytest.fixture(autouse=True)
+def small_slices(spark):
+    spark.conf.set(ROWS_PER_SLICE, "60")
+    yield
+    spark.conf.unset(ROWS_PER_SLICE)
 
 RACKS = [(1, 65.0, 0), (1, 66.0, 1), (1, 50.0, 2), (2, 65.0, 0), (2, 64.0, 1), (3, 61.0, 0), (3, 62.0, 7)]
 

@@ -10,15 +10,18 @@ from test_alarms import readings, step_by_step
 from tidemill.catalog.base import events
 from tidemill.functions.exact import cents
 from tidemill.functions.times import arrival_time
+from tidemill.operators.running import number_rows
 from tidemill.operators.sessions import session_totals
 from tidemill.operators.shape import union_all
 from tidemill.operators.temporal import interval_join, stream_interval_join, window_join
 from tidemill.operators.windows import sliding, tumbling
 from tidemill.session import new_dir, shared_dir
 from tidemill.sinks.files import compact_buckets, stream_buckets, write_buckets
+from tidemill.sinks.keyed import KeyedTable, ListTable
 from tidemill.sinks.ledger import Ledger
 from tidemill.sources.files import stream_lines
 from tidemill.sources.messages import from_offsets, json_values, replay_messages
+from tidemill.streaming.ordered import ordered_rows, stream_numbers
 from tidemill.streaming.runs import (
     ForeignTarget,
     append_files,
@@ -300,3 +303,61 @@ def test_buckets_and_compaction(spark, replay):
 
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_alarm_over_disordered_batches(spark):
+    """A reading that comes in a later batch but was earlier in time opens the watch."""
+    source = new_dir(spark, "disordered")
+    for part in ([(1, 62.0, 100)], [(1, 70.0, 97)], [(1, 1.0, 10_000)], [(1, 1.0, 20_000)]):
+        readings(spark, part).coalesce(1).write.mode("append").parquet(source)
+    target, progress = places(spark, "disordered")
+    stream = stream_rising_alarms(stream_table(spark, source, 1), "rack", "ts", "temperature", "seq", "10 seconds", hold_s=5.0)
+    append_files(stream, target, progress)
+    assert spark.read.parquet(target).count() == 0
+
+
+@pytest.mark.parametrize("reset", [False, True])
+def test_alarms_of_shuffled_files_match_the_rule(spark, reset):
+    rng = random.Random(8)
+    data = sorted({(rng.randint(1, 3), rng.randint(0, 200)) for _ in range(150)}, key=lambda r: r[1])
+    data = [(rack, float(rng.randint(55, 75)), s) for rack, s in data]
+    source = new_dir(spark, "shuffled")
+    df = readings(spark, data)
+    for no in (2, 0, 3, 1):
+        df.where(F.pmod(F.xxhash64("seq"), F.lit(4)) == no).coalesce(1).write.mode("append").parquet(source)
+    for far in (10_000, 20_000):  # the watermark follows one batch behind
+        readings(spark, [(9, 99.0, far)]).coalesce(1).write.mode("append").parquet(source)
+    target, progress = places(spark, "shuffled")
+    stream = stream_rising_alarms(stream_table(spark, source, 1), "rack", "ts", "temperature", "seq", "300 seconds", reset_on_drop=reset)
+    append_files(stream, target, progress)
+    got = sorted((r["rack"], r["opened_ms"] // 1000, r["first_value"], r["peak_value"]) for r in spark.read.parquet(target).collect())
+    assert got == step_by_step(data, 5, reset)
+
+
+def test_numbers_and_arrivals_survive_a_failed_batch(spark, replay):
+    """A batch that comes again starts from what the batches before it left."""
+    target, progress = places(spark, "numbered")
+    for _ in range(2):  # the second run finds nothing new
+        stream_numbers(stream_table(spark, replay, 1), target, progress, ["event_type"], ["event_id"])
+    batch = spark.read.parquet(replay)
+    want = number_rows(batch, ["event_type"], ["event_id"], "rn").select("event_id", "rn")
+    assert rows(ordered_rows(spark, target).select("event_id", "rn")) == rows(want)
+    left = spark.read.parquet(f"{target}/left")
+    assert left.select("batch_id").distinct().count() >= 4
+    with pytest.raises(ForeignTarget):
+        stream_numbers(stream_table(spark, replay, 1), target, f"{progress}-other", ["event_type"], ["event_id"])
+
+
+def test_lists_and_keyed_tables(spark):
+    source = new_dir(spark, "pushes")
+    for part in ([("k", 1), ("m", 9)], [("k", 2), ("k", 3)]):
+        spark.createDataFrame(part, "key string, v long").coalesce(1).write.mode("append").parquet(source)
+    target, progress = places(spark, "lists")
+    lists = ListTable(target, "key", "v")
+    for _ in range(2):
+        lists.push(stream_table(spark, source, 1), progress)
+    assert rows(lists.rows(spark).select("key", "pos", "v")) == [("k", 1, 3), ("k", 2, 2), ("k", 3, 1), ("m", 1, 9)]
+    target, progress = places(spark, "keyed")
+    table = KeyedTable(target, ("key",))
+    table.upsert(stream_table(spark, source, 1).groupBy("key").agg(F.max("v").alias("v")), progress)
+    assert rows(table.rows(spark)) == [("k", 3), ("m", 9)]

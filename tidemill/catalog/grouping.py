@@ -125,18 +125,18 @@ def _sales_by_customer(spark: SparkSession, sf: str) -> DataFrame:
     return sales_by_customer(table(spark, sf, "orders"), "o_custkey", F.col("o_totalprice"))
 
 
-_FILTERED = "SELECT p_brand, max(p_size) AS max_size FROM part WHERE p_retailprice >= 1000 GROUP BY p_brand"
+_FILTERED = "SELECT p_brand, max(p_size) AS max_size FROM part WHERE p_retailprice >= 905 GROUP BY p_brand"
 
 
 @query("filtered_max", _FILTERED)
 def _filtered_max(spark: SparkSession, sf: str) -> DataFrame:
-    return filtered_max(table(spark, sf, "part"), "p_retailprice >= 1000", "p_brand", "p_size", "max_size")
+    return filtered_max(table(spark, sf, "part"), "p_retailprice >= 905", "p_brand", "p_size", "max_size")
 
 
 @query("filtered_max_sql", _FILTERED)
 def _filtered_max_sql(spark: SparkSession, sf: str) -> DataFrame:
-    register(table(spark, sf, "part"), "parts")
-    return spark.sql("SELECT p_brand, max(p_size) AS max_size FROM parts WHERE p_retailprice >= 1000 GROUP BY p_brand")
+    sql = "SELECT p_brand, max(p_size) AS max_size FROM {parts} WHERE p_retailprice >= 905 GROUP BY p_brand"
+    return spark.sql(sql, parts=table(spark, sf, "part"))
 
 
 @query("observed_count", "SELECT count(*) AS seen, count(*) AS written FROM events")

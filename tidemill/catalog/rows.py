@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.catalog.base import events, query, sql_cents, sql_ts_label, sql_window, table
@@ -29,7 +30,7 @@ from tidemill.operators.shape import (
     union_all,
     with_tag,
 )
-from tidemill.plans.jobs import students, traffic_documents, traffic_lines, word_count
+from tidemill.plans.jobs import students, timed_words, traffic_documents, traffic_lines, word_count
 from tidemill.session import new_dir
 from tidemill.sinks.files import BUCKET, compact_buckets, write_buckets, write_csv, write_lines
 from tidemill.sinks.keyed import copied_lines, lines_to_cells, merge_by_key, push_batch, push_front, put_cells
@@ -62,12 +63,33 @@ def _unpivot_three(spark: SparkSession, sf: str) -> DataFrame:
     return one_to_many(table(spark, sf, "part"), ["p_partkey"], said, "said")
 
 
-def _traffic_lines(spark: SparkSession, sf: str) -> DataFrame:
+def traffic_log(rows: DataFrame) -> DataFrame:
     """Events as traffic log lines: errors are of the business level, small values have an unreadable time."""
     level = F.when(F.col("event_type") == "error", F.lit(BUSINESS_LEVEL)).otherwise(F.lit("M"))
     time = F.when(F.col("value") < 5, F.lit("no time")).otherwise(second_label(F.col("ts")))
     domain = F.concat(F.lit("user-"), F.col("user_id"))
-    return traffic_lines(events(spark, sf), level, time, domain, cents(F.col("value")))
+    return traffic_lines(rows, level, time, domain, cents(F.col("value")))
+
+
+def _traffic_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return traffic_log(events(spark, sf))
+
+
+@query(
+    "timed_words",
+    """
+    SELECT word, count(*) AS n, CAST(sum(ms) AS BIGINT) AS ms
+    FROM (SELECT event_type AS word, epoch_us(ts) // 1000 AS ms FROM events WHERE event_id % 7 > 1) GROUP BY word
+    UNION ALL SELECT 'rejected', count(*), 0 FROM events WHERE event_id % 7 <= 1
+    """,
+)
+def _timed_words(spark: SparkSession, sf: str) -> DataFrame:
+    """``ts,word`` lines; empty ones and those with another number of fields are rejected and counted."""
+    ms, part = F.unix_millis("ts"), F.col("event_id") % 7
+    line = F.when(part == 0, F.lit("")).when(part == 1, F.concat_ws(",", ms, "event_type", "user_id")).otherwise(F.concat_ws(",", ms, "event_type"))
+    good, bad = timed_words(events(spark, sf).select(line.alias("line")))
+    sums = good.groupBy("word").agg(F.count("*").alias("n"), F.sum(F.unix_millis("ts")).alias("ms"))
+    return sums.unionByName(bad.agg(F.lit("rejected").alias("word"), F.count("*").alias("n"), F.lit(0).cast("long").alias("ms")))
 
 
 @query(
@@ -386,22 +408,23 @@ def _list_push_batches(spark: SparkSession, sf: str) -> DataFrame:
     return push_batch(stored, push_front(rows.where(late), "user_id", "event_id", "event_id"), "user_id")
 
 
-@query(
-    "doc_upsert",
-    f"""
+DOCUMENTS = f"""
     SELECT time || '-' || domain AS id, time, domain, traffics FROM (
         SELECT strftime(max(ts), '%Y-%m-%d %H:%M') AS time, 'user-' || user_id AS domain,
                CAST(sum({sql_cents('value')}) AS BIGINT) AS traffics
         FROM events WHERE value >= 5 AND event_type = 'error'
         GROUP BY user_id, {sql_window('ts', 60)})
-    """,
-)
+"""
+
+
+@query("doc_upsert", f"{DOCUMENTS} UNION ALL SELECT 'old-' || id, time, domain, traffics - 1 FROM ({DOCUMENTS})")
 def _doc_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents of the whole log written over an index that holds a first, incomplete version of them."""
-    lines = _traffic_lines(spark, sf)
-    final = traffic_documents(lines)
+    """Documents of the whole log written over an index with a first, incomplete version of them and with documents of
+    an earlier log, which stay."""
+    final = traffic_documents(_traffic_lines(spark, sf))
     stale = final.select("id", "time", "domain", (F.col("traffics") - 1).alias("traffics"))
-    return merge_by_key(stale, final, ["id"])
+    earlier = stale.withColumn("id", F.concat(F.lit("old-"), "id"))
+    return merge_by_key(stale.unionByName(earlier), final, ["id"])
 
 
 _BUCKETS = "SELECT event_id, strftime(date_trunc('day', ts), '%Y-%m-%d--%H%M') AS bucket FROM events"
@@ -441,10 +464,15 @@ def _partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-@query("sorted_partitions", "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem")
+@query("sorted_partitions", "SELECT l_orderkey, l_linenumber, l_extendedprice, true AS in_order FROM lineitem")
 def _sorted_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows, and for each whether none of the rows before it in its partition sorts after it."""
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return sort_in_parts(rows, "l_orderkey", "l_linenumber")
+    placed = with_partition(sort_in_parts(hash_parts(rows, _partitions(spark), "l_linenumber"), "l_orderkey", "l_linenumber"))
+    before = W.partitionBy("partition").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
+    here = F.struct("l_orderkey", "l_linenumber")
+    checked = placed.withColumn("at", F.monotonically_increasing_id()).withColumn("furthest", F.max(here).over(before))
+    return checked.select(*rows.columns, F.coalesce(F.col("furthest") <= here, F.lit(True)).alias("in_order"))
 
 
 @query(
@@ -463,8 +491,8 @@ def _range_parts(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
     placed = with_partition(range_parts(rows, _partitions(spark), "l_orderkey", "l_linenumber"))
     ends = rows_by_partition(placed, F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi"))
-    later = ends.select(F.col("partition").alias("p2"), F.col("lo").alias("lo2"))
-    found = ends.join(later, F.col("p2") == F.col("partition") + 1, "left")
+    # one row per partition
+    found = ends.withColumn("lo2", F.lead("lo").over(W.orderBy("partition")))
     return found.agg(F.sum("n").alias("n"), F.count(F.when(F.col("lo2") < F.col("hi"), 1)).alias("overlaps"))
 
 

@@ -22,6 +22,7 @@ from tidemill.operators.windows import (
     tumbling,
     window_apply,
 )
+from tidemill.plans.jobs import rack_alarms
 
 _C = sql_cents("value")
 
@@ -255,34 +256,34 @@ def _session_dynamic(spark: SparkSession, sf: str) -> DataFrame:
 
 # Arrival order: events come in bursts out of order, up to six hours late.
 _ARRIVAL_SQL = "SELECT *, epoch_us(ts) // 1000000 + (event_id * 7919 % 13) * 1800 AS arrived FROM events"
-_SIZE, _DELAY, _LATENESS = 7200, 10800, 7200
+SIZE, DELAY, LATENESS = 7200, 10800, 7200
 
-_CLASSES_SQL = f"""
+CLASSES_SQL = f"""
     WITH a AS ({_ARRIVAL_SQL}),
     m AS (
-        SELECT *, {sql_window('ts', _SIZE)} AS w,
+        SELECT *, {sql_window('ts', SIZE)} AS w,
                max(epoch_us(ts)) OVER (ORDER BY arrived, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-                   - {_DELAY * 1_000_000} AS mark
+                   - {DELAY * 1_000_000} AS mark
         FROM a),
     k AS (
-        SELECT *, CASE WHEN mark IS NULL OR mark < (w + {_SIZE}) * 1000000 THEN 'on_time'
-                       WHEN mark < (w + {_SIZE} + {_LATENESS}) * 1000000 THEN 'late_refire' ELSE 'dropped' END AS cls
+        SELECT *, CASE WHEN mark IS NULL OR mark < (w + {SIZE}) * 1000000 THEN 'on_time'
+                       WHEN mark < (w + {SIZE} + {LATENESS}) * 1000000 THEN 'late_refire' ELSE 'dropped' END AS cls
         FROM m)
 """
 
 
-def _arrivals(spark: SparkSession, sf: str) -> DataFrame:
+def arrivals(spark: SparkSession, sf: str) -> DataFrame:
     arrived = F.unix_seconds("ts") + F.pmod(F.col("event_id") * 7919, F.lit(13)) * 1800
     return events(spark, sf).select("event_id", "event_type", "ts", "value", arrived.alias("arrived"))
 
 
 def _classified(spark: SparkSession, sf: str) -> DataFrame:
-    return classify_arrivals(_arrivals(spark, sf), "ts", ["arrived", "event_id"], _SIZE, _DELAY, _LATENESS)
+    return classify_arrivals(arrivals(spark, sf), "ts", ["arrived", "event_id"], SIZE, DELAY, LATENESS)
 
 
 @query(
     "late_classes",
-    f"{_CLASSES_SQL} SELECT event_id, CAST(w AS BIGINT) AS window_start, cls AS arrival_class FROM k",
+    f"{CLASSES_SQL} SELECT event_id, CAST(w AS BIGINT) AS window_start, cls AS arrival_class FROM k",
 )
 def _late_classes(spark: SparkSession, sf: str) -> DataFrame:
     return _classified(spark, sf).select("event_id", "window_start", "arrival_class")
@@ -290,7 +291,7 @@ def _late_classes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "late_side_output",
-    f"{_CLASSES_SQL} SELECT event_type, count(*) AS n, CAST(sum({_C}) AS BIGINT) AS c FROM k WHERE cls = 'dropped' GROUP BY 1",
+    f"{CLASSES_SQL} SELECT event_type, count(*) AS n, CAST(sum({_C}) AS BIGINT) AS c FROM k WHERE cls = 'dropped' GROUP BY 1",
 )
 def _late_side_output(spark: SparkSession, sf: str) -> DataFrame:
     late = _classified(spark, sf).where(F.col("arrival_class") == "dropped")
@@ -300,14 +301,14 @@ def _late_side_output(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "late_refire_log",
     f"""
-    {_CLASSES_SQL},
-    final AS (SELECT max(epoch_us(ts)) - {_DELAY * 1_000_000} AS f FROM events),
+    {CLASSES_SQL},
+    final AS (SELECT max(epoch_us(ts)) - {DELAY * 1_000_000} AS f FROM events),
     base AS (SELECT event_type, w, count(*) AS n, sum({_C}) AS c FROM k WHERE cls = 'on_time' GROUP BY ALL),
     late AS (
         SELECT event_type, w, row_number() OVER g AS firing, sum({_C}) OVER g AS c FROM k WHERE cls = 'late_refire'
         WINDOW g AS (PARTITION BY event_type, w ORDER BY arrived, event_id))
     SELECT event_type, CAST(w AS BIGINT) AS window_start, CAST(0 AS BIGINT) AS firing, n, CAST(c AS BIGINT) AS total
-    FROM base, final WHERE (w + {_SIZE}) * 1000000 <= f
+    FROM base, final WHERE (w + {SIZE}) * 1000000 <= f
     UNION ALL
     SELECT l.event_type, CAST(l.w AS BIGINT), firing, coalesce(b.n, 0) + firing, CAST(coalesce(b.c, 0) + l.c AS BIGINT)
     FROM late l LEFT JOIN base b ON l.event_type = b.event_type AND l.w = b.w
@@ -315,17 +316,20 @@ def _late_side_output(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _late_refire_log(spark: SparkSession, sf: str) -> DataFrame:
     log = firing_log(
-        _classified(spark, sf), "ts", ["event_type"], ["arrived", "event_id"], cents(F.col("value")), _DELAY
+        _classified(spark, sf), "ts", ["event_type"], ["arrived", "event_id"], cents(F.col("value")), DELAY
     )
     return log.drop("window_end")
 
 
 _HOLD = 18000  # five hours
+_USER_HOLD = 43200  # twelve hours: about one more reading of the same user
 
-_ALARM_TAIL = f"""
-    SELECT k AS event_type, {sql_ts_label('opened')} AS opened_at, first_value, peak_value,
-           {sql_ts_label(f'opened + INTERVAL {_HOLD} SECOND')} AS alarm_at
-"""
+
+def _alarm_tail(key: str, hold: int) -> str:
+    return f"""
+    SELECT k AS {key}, {sql_ts_label('opened')} AS opened_at, first_value, peak_value,
+           {sql_ts_label(f'opened + INTERVAL {hold} SECOND')} AS alarm_at
+    """
 
 
 @query(
@@ -342,18 +346,18 @@ _ALARM_TAIL = f"""
         SELECT a.k, a.opened, max(h.value) FILTER (h.event_id = a.id) AS first_value, max(h.value) AS peak_value
         FROM a JOIN h ON h.k = a.k AND h.ts BETWEEN a.opened AND a.opened + INTERVAL {_HOLD} SECOND
         GROUP BY a.k, a.opened)
-    {_ALARM_TAIL} FROM w WHERE peak_value > first_value
+    {_alarm_tail('event_type', _HOLD)} FROM w WHERE peak_value > first_value
     """,
 )
 def _rising_alarm(spark: SparkSession, sf: str) -> DataFrame:
-    return _alarms(spark, sf, reset_on_drop=False)
+    return _alarms(spark, sf, "event_type", _HOLD, reset_on_drop=False)
 
 
 @query(
     "rising_alarm_reset",
     f"""
     WITH RECURSIVE e AS (
-        SELECT event_type AS k, ts, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events),
+        SELECT user_id AS k, ts, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
     st AS (
         SELECT k, rn, ts, value, CASE WHEN value >= 60 THEN ts END AS opened, value AS opening, CASE WHEN value >= 60 THEN value END AS peak,
                CAST(NULL AS TIMESTAMP) AS closed, CAST(NULL AS DOUBLE) AS c_first, CAST(NULL AS DOUBLE) AS c_peak
@@ -366,26 +370,48 @@ def _rising_alarm(spark: SparkSession, sf: str) -> DataFrame:
                CASE WHEN NOT live THEN opened END, CASE WHEN NOT live THEN opening END, CASE WHEN NOT live THEN peak END
         FROM (
             SELECT e.k, e.rn, e.ts, e.value, s.opened, s.opening, s.peak,
-                   s.opened IS NOT NULL AND e.ts <= s.opened + INTERVAL {_HOLD} SECOND AS live, e.value < s.value AS dropped
+                   s.opened IS NOT NULL AND e.ts <= s.opened + INTERVAL {_USER_HOLD} SECOND AS live, e.value < s.value AS dropped
             FROM st s JOIN e ON e.k = s.k AND e.rn = s.rn + 1)),
     done AS (
         SELECT k, closed AS opened, c_first AS first_value, c_peak AS peak_value FROM st WHERE closed IS NOT NULL
         UNION ALL
         SELECT k, opened, opening, peak FROM st WHERE opened IS NOT NULL
           AND rn = (SELECT max(rn) FROM e WHERE e.k = st.k))
-    {_ALARM_TAIL} FROM done WHERE peak_value > first_value
+    {_alarm_tail('user_id', _USER_HOLD)} FROM done WHERE peak_value > first_value
     """,
 )
 def _rising_alarm_reset(spark: SparkSession, sf: str) -> DataFrame:
-    return _alarms(spark, sf, reset_on_drop=True)
+    return _alarms(spark, sf, "user_id", _USER_HOLD, reset_on_drop=True)
 
 
-def _alarms(spark: SparkSession, sf: str, reset_on_drop: bool) -> DataFrame:
-    alarms = rising_alarms(events(spark, sf), "event_type", "ts", "value", "event_id", 60.0, _HOLD, reset_on_drop)
+def _alarms(spark: SparkSession, sf: str, key: str, hold: int, reset_on_drop: bool) -> DataFrame:
+    alarms = rising_alarms(events(spark, sf), key, "ts", "value", "event_id", 60.0, hold, reset_on_drop)
     return alarms.select(
-        "event_type",
+        key,
         second_label(F.col("opened_at")).alias("opened_at"),
         "first_value",
         "peak_value",
         second_label(F.col("alarm_at")).alias("alarm_at"),
     )
+
+
+@query(
+    "rack_alarm",
+    f"""
+    WITH RECURSIVE h AS (SELECT user_id AS k, epoch_us(ts) // 1000 AS ms, value FROM events WHERE value >= 60),
+    a AS (
+        SELECT k, min(ms) AS opened FROM h GROUP BY k
+        UNION ALL
+        SELECT n.k, n.ms FROM (
+            SELECT a.k, min(h.ms) AS ms FROM a JOIN h ON h.k = a.k AND h.ms > a.opened + {_USER_HOLD * 1000} GROUP BY a.k) n),
+    w AS (
+        SELECT a.k, a.opened, max(h.value) FILTER (h.ms = a.opened) AS first_value, max(h.value) AS peak_value
+        FROM a JOIN h ON h.k = a.k AND h.ms BETWEEN a.opened AND a.opened + {_USER_HOLD * 1000} GROUP BY a.k, a.opened)
+    SELECT CAST(k AS INTEGER) AS rack, opened AS opened_ms, first_value, peak_value FROM w WHERE peak_value > first_value
+    """,
+)
+def _rack_alarm(spark: SparkSession, sf: str) -> DataFrame:
+    """From ``rack,temperature,timestamp`` lines to alarms; every user is a rack."""
+    lines = events(spark, sf).select(F.concat_ws(",", "user_id", "value", F.unix_millis("ts")).alias("line"))
+    alarms = rack_alarms(lines, hold_s=_USER_HOLD)
+    return alarms.select("rack", F.unix_millis("opened_at").alias("opened_ms"), "first_value", "peak_value")

@@ -20,12 +20,17 @@ from tidemill.session import written
 
 
 def classify_arrivals(
-    df: DataFrame, ts: str, arrival: Sequence[str], size_s: int, delay_s: int, lateness_s: int
+    df: DataFrame, ts: str, arrival: Sequence[str], size_s: int, delay_s: int, lateness_s: int, high_before: int | None = None
 ) -> DataFrame:
-    """Add ``window_start``, ``window_end`` (epoch seconds) and ``arrival_class``; all rows share one watermark."""
+    """Add ``window_start``, ``window_end`` (epoch seconds) and ``arrival_class``; all rows share one watermark.
+
+    ``high_before``: the largest event time, in microseconds, of what arrived before ``df``.
+    """
     at = F.unix_micros(F.col(ts).cast("timestamp"))
     seen = running(df.withColumn("_at", at), [], arrival, [Running("_high", "max", F.col("_at"), inclusive=False)])
     start = F.timestamp_micros(F.col("_at") - F.pmod(F.col("_at"), F.lit(size_s * 1_000_000)))
+    if high_before is not None:
+        seen = seen.withColumn("_high", F.greatest("_high", F.lit(high_before)))
     mark = F.col("_high") - F.lit(delay_s * 1_000_000)
     end = (F.col("window_start") + size_s) * 1_000_000
     verdict = (

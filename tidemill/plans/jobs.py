@@ -9,6 +9,7 @@ from tidemill.functions.exact import money_sum
 from tidemill.functions.records import as_json, clean_traffic, has_fields, split_valid, typed_fields
 from tidemill.functions.text import field, fields, joined
 from tidemill.functions.times import ACCESS_LOG_TIME, day_and_time, parse_time, to_millis
+from tidemill.operators.alarms import rising_alarms
 from tidemill.operators.running import running_distinct
 from tidemill.operators.shape import split_words
 from tidemill.operators.temporal import snapshot_lookup, window_join
@@ -96,6 +97,12 @@ def rack_readings(lines: DataFrame, line: str = "line") -> DataFrame:
     return typed.withColumn("ts", F.timestamp_millis("at")).drop("at")
 
 
+def rack_alarms(lines: DataFrame, line: str = "line", threshold: float = 60.0, hold_s: float = 5.0, reset_on_drop: bool = False) -> DataFrame:
+    """Alarms of racks whose temperature rises above the threshold and keeps rising, from their lines."""
+    readings = rack_readings(lines, line).withColumn("seq", F.unix_millis("ts"))
+    return rising_alarms(readings, "rack", "ts", "temperature", "seq", threshold, hold_s, reset_on_drop)
+
+
 def timed_words(lines: DataFrame, line: str = "line") -> tuple[DataFrame, DataFrame]:
     """``ts,word`` lines as (rows ``ts, word``, lines that are empty or have another number of fields)."""
     good, bad = split_valid(lines, has_fields(F.col(line), ",", 2))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators.running import Running, running
+from tidemill.operators.running import Running, number_rows, running
 from tidemill.sources.tables import fold_cells
+from tidemill.streaming.runs import BATCH, all_versions, current_rows, update_files
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
@@ -74,3 +76,38 @@ def push_batch(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     grown = batch.groupBy(key).agg(F.count("*").alias("_n"))
     moved = stored.join(grown, key, "left").withColumn("pos", F.col("pos") + F.coalesce("_n", F.lit(0))).drop("_n")
     return batch.select(*stored.columns).unionByName(moved.select(*stored.columns))
+
+
+@dataclass(frozen=True)
+class KeyedTable:
+    """A table on files where the last write of a key wins. A batch adds its rows as a version of their keys; a batch that
+    comes again replaces itself, and readers take the newest version (``compact_updates`` drops the older ones)."""
+
+    path: str
+    keys: tuple[str, ...]
+
+    def upsert(self, stream: DataFrame, checkpoint: str, shared: bool = False) -> None:
+        """Write everything a stream has. Rows of one key within a batch must be combined before."""
+        update_files(stream, self.path, checkpoint, shared)
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        return current_rows(spark, self.path, self.keys)
+
+
+@dataclass(frozen=True)
+class ListTable:
+    """Lists on files that grow at the front. Batches are kept as they came; positions are worked out on reading."""
+
+    path: str
+    key: str
+    order: str
+
+    def push(self, stream: DataFrame, checkpoint: str) -> None:
+        """Push everything a stream has: batches in their order, the rows of one by ``order`` (a whole number)."""
+        update_files(stream, self.path, checkpoint)
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """The pushed rows with ``pos``, 1 at the front."""
+        pushed = all_versions(spark, self.path).withColumns({"_b": -F.col(BATCH), "_o": -F.col(self.order)})
+        columns = [c for c in pushed.columns if c not in ("query_id", BATCH, "_b", "_o")]
+        return number_rows(pushed, [self.key], ["_b", "_o"], "pos").select(*columns, "pos")

@@ -63,10 +63,11 @@ class SeenItems(StatefulProcessor):
 
 
 class RisingAlarm(StatefulProcessor):
-    """The streaming twin of ``operators.alarms.rising_alarms``: list state of the rising readings, one timer per watch.
+    """The streaming twin of ``operators.alarms.rising_alarms``: readings wait in list state until the watermark passes them.
 
-    Event-time timers fire when the watermark passes the end of a watch; a reading past the end closes the watch first.
-    Readings of a key are ordered within a micro-batch; bound its size at the source.
+    Only then are they taken, in the order of time, so readings may come in any order within the delay and over any
+    number of micro-batches. A key has one timer: the earliest waiting reading or the end of its open watch. What a task
+    holds of a key are the readings of one delay, not of a micro-batch.
     """
 
     def __init__(self, key: str, threshold: float, hold_ms: int, reset_on_drop: bool):
@@ -74,49 +75,58 @@ class RisingAlarm(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.readings = handle.getListState("readings", "at long, value double")
+        self.waiting = handle.getListState("waiting", "at long, seq long, value double")
+        self.rising = handle.getListState("rising", "at long, value double")
+        self.timer = handle.getValueState("timer", "at long")
+
+    def _wake_at(self, at: int | None) -> None:
+        """Make ``at`` the key's only timer."""
+        if self.timer.exists():
+            self.handle.deleteTimer(self.timer.get()[0])
+            self.timer.clear()
+        if at is not None:
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        chunks = list(rows)
-        if not chunks:
-            return
-        listed = list(self.readings.get()) if self.readings.exists() else []
+        low = None
+        for chunk in rows:
+            taken = list(zip(chunk["at_ms"].astype("int64").tolist(), chunk["seq"].tolist(), chunk["value"].tolist(), strict=True))
+            self.waiting.appendList(taken)
+            low = min([t[0] for t in taken] + [low] * (low is not None))
+        if low is not None and not (self.timer.exists() and self.timer.get()[0] <= low):
+            self._wake_at(low)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        waiting = sorted(tuple(r) for r in self.waiting.get()) if self.waiting.exists() else []
+        rising = [tuple(r) for r in self.rising.get()] if self.rising.exists() else []
+        due = [r for r in waiting if r[0] <= passed]
+        later = waiting[len(due) :]
         out = []
-        ordered = pd.concat(chunks).sort_values(["at_ms", "seq"])
-        for at, value in zip(ordered["at_ms"].astype("int64"), ordered["value"]):
-            if listed and at > listed[0][0] + self.hold_ms:
-                out += self._close(listed)
-                listed = self._forget(listed)
-            if listed and self.reset_on_drop and value < listed[-1][1]:
-                listed = self._forget(listed)
-            elif value >= self.threshold and (not listed or value > listed[-1][1]):
-                if not listed:
-                    self.handle.registerTimer(int(at) + self.hold_ms)
-                listed.append((int(at), float(value)))
-        if listed:
-            self.readings.put(listed)
-        else:
-            self.readings.clear()
+        for at, _, value in due:
+            if rising and at > rising[0][0] + self.hold_ms:
+                out += self._close(rising)
+                rising = []
+            if rising and self.reset_on_drop and value < rising[-1][1]:
+                rising = []
+            elif value >= self.threshold and (not rising or value > rising[-1][1]):
+                rising.append((at, value))
+        if rising and rising[0][0] + self.hold_ms <= passed:
+            out += self._close(rising)
+            rising = []
+        for state, rows in ((self.waiting, later), (self.rising, rising)):
+            state.put(rows) if rows else state.clear()
+        self._wake_at(min([r[0] for r in later[:1]] + [r[0] + self.hold_ms for r in rising[:1]], default=None))
         if out:
             yield self._frame(key, out)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        listed = list(self.readings.get()) if self.readings.exists() else []
-        if listed and listed[0][0] + self.hold_ms == expiredTimerInfo.getExpiryTimeInMs():
-            self.readings.clear()
-            out = self._close(listed)
-            if out:
-                yield self._frame(key, out)
-
     def _close(self, listed: list) -> list:
         if len(listed) < 2:
             return []
         return [(listed[0][0], listed[0][1], listed[-1][1], listed[0][0] + self.hold_ms)]
 
-    def _forget(self, listed: list) -> list:
-        self.handle.deleteTimer(listed[0][0] + self.hold_ms)
-        return []
-
     def _frame(self, key, rows: list) -> pd.DataFrame:
         out = pd.DataFrame(rows, columns=["opened_ms", "first_value", "peak_value", "alarm_ms"])
         out.insert(0, self.key, key[0])
@@ -172,9 +182,12 @@ def stream_rising_alarms(
     hold_s: float = 5.0,
     reset_on_drop: bool = False,
 ) -> DataFrame:
-    """Alarms as they become due: ``key, opened_ms, first_value, peak_value, alarm_ms``."""
+    """Alarms as they become due: ``key, opened_ms, first_value, peak_value, alarm_ms``.
+
+    Readings may be out of order by ``delay``; later ones are dropped. ``order`` decides between readings of one time.
+    """
     use_rocksdb(stream.sparkSession)
-    readings = stream.select(
+    readings = stream.where(F.col(ts).isNotNull() & F.col(value).isNotNull()).select(
         key,
         F.col(ts).cast("timestamp").alias("at"),
         F.unix_millis(F.col(ts).cast("timestamp")).alias("at_ms"),
@@ -183,8 +196,10 @@ def stream_rising_alarms(
     )
     schema = f"{_key_type(stream, key)}, opened_ms long, first_value double, peak_value double, alarm_ms long"
     processor = RisingAlarm(key, threshold, round(hold_s * 1000), reset_on_drop)
+    marked = readings.withWatermark("at", delay)
+    if not reset_on_drop:
+        marked = marked.where(F.col("value") >= threshold)  # lower readings neither open nor end a watch
     return (
-        readings.withWatermark("at", delay)
-        .groupBy(key)
+        marked.groupBy(key)
         .transformWithStateInPandas(processor, schema, "Append", "EventTime")
     )
