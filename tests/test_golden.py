@@ -462,3 +462,10 @@ def test_jdbc_options():
 def test_rack_readings(spark):
     got = rack_readings(inline_rows(spark, ["1,65.5,1000"], "line string"))
     assert rows(got, "rack", "temperature") == [(1, 65.5)]
+
+
+def test_row_of_extreme_with_a_text_tie(spark):
+    df = spark.createDataFrame([("k", 5, "b"), ("k", 5, "a"), ("k", 1, "0"), (None, 2, "z"), ("m", None, "a")], "k string, v int, name string")
+    assert rows(row_of_extreme(df, ["k"], "v", "name").where("k is not null"), "k", "v", "name") == [("k", 5, "a")]
+    assert row_of_extreme(df, ["k"], "v", "name").count() == 2
+    assert rows(row_of_extreme(df, [], "v", "name"), "v", "name") == [(5, "a")]

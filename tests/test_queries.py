@@ -4,8 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import connect, difference
+from tidemill.catalog import QUERIES as CATALOG
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES = {name: q.run for name, q in CATALOG.items()}
+SQL = {name: q.sql for name, q in CATALOG.items() if q.sql is not None}
 
 
 @pytest.fixture(scope="module")
@@ -22,8 +24,9 @@ def test_query(spark, sf_dir, con, name):
         assert df.count() > 0
 
 
-def test_twins_belong_to_queries():
-    assert set(SQL) <= set(QUERIES)
+def test_contract_serves_the_catalog():
+    served, twins = contract.queries(), contract.oracle_sql()
+    assert set(QUERIES) <= set(served) and set(SQL) <= set(twins) <= set(served)
 
 
 def test_entry(spark):

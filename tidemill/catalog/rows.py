@@ -52,14 +52,18 @@ def _word_count(spark: SparkSession, sf: str) -> DataFrame:
     return word_count(table(spark, sf, "documents"), "text")
 
 
+# Fixed value: what joins a name and what it has.
+_HAS = " 有 "
+
+
 @query(
     "unpivot_three",
-    """
-    SELECT p_partkey, p_name || ' 有 ' || unnest([p_brand, p_type, CAST(p_size AS VARCHAR)]) AS said FROM part
+    f"""
+    SELECT p_partkey, p_name || '{_HAS}' || unnest([p_brand, p_type, CAST(p_size AS VARCHAR)]) AS said FROM part
     """,
 )
 def _unpivot_three(spark: SparkSession, sf: str) -> DataFrame:
-    said = [F.concat_ws(" 有 ", "p_name", F.col(c).cast("string")) for c in ("p_brand", "p_type", "p_size")]
+    said = [F.concat_ws(_HAS, "p_name", F.col(c).cast("string")) for c in ("p_brand", "p_type", "p_size")]
     return one_to_many(table(spark, sf, "part"), ["p_partkey"], said, "said")
 
 
@@ -123,15 +127,18 @@ def _strict_rows(spark: SparkSession, sf: str) -> DataFrame:
     return must_hold(df, F.col("user_id").isNotNull(), "event without user")
 
 
+# The names of the split streams.
+_EVEN, _ODD, _ODD_TOO = "even", "odd", "jishu"
+
 _TAGS = f"""
-    SELECT event_id, unnest(CASE WHEN {sql_cents('value')} % 2 = 0 THEN ['even'] ELSE ['odd', 'jishu'] END) AS tag
+    SELECT event_id, unnest(CASE WHEN {sql_cents('value')} % 2 = 0 THEN ['{_EVEN}'] ELSE ['{_ODD}', '{_ODD_TOO}'] END) AS tag
     FROM events
 """
 
 
 def _tagged(spark: SparkSession, sf: str) -> DataFrame:
     odd = cents(F.col("value")) % 2 == 1
-    return tag_rows(events(spark, sf), {"even": ~odd, "odd": odd, "jishu": odd}).select("event_id", "tags")
+    return tag_rows(events(spark, sf), {_EVEN: ~odd, _ODD: odd, _ODD_TOO: odd}).select("event_id", "tags")
 
 
 @query("split_tags", _TAGS)

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidemill.operators.slices import join_on
+
 
 # Partial results a task of ``combine_groups`` keeps before it reduces them or passes them on.
 _HELD_ROWS = 50_000
@@ -16,8 +18,18 @@ _HELD_ROWS = 50_000
 def row_of_extreme(
     df: DataFrame, keys: Sequence[str], value: str, tie: str, largest: bool = True, row: Sequence[str] | None = None
 ) -> DataFrame:
-    """Per key (or overall) the whole row with the largest or smallest value; among equals the one with least ``tie``."""
+    """Per key (or overall) the whole row with the largest or smallest value; among equals the one with least ``tie``.
+
+    A ``tie`` that is no number takes a second pass: the rows with a key's largest value, and the least of these.
+    """
     whole = F.struct(*(row or [c for c in df.columns if c not in keys]))
+    numbers = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+    if largest and not dict(df.dtypes)[tie].startswith(numbers):
+        top = df.groupBy(*keys).agg(F.max(value).alias("_top"))
+        marked = join_on(df, top, keys) if keys else df.join(F.broadcast(top))  # one row without keys
+        best = F.min_by(whole, F.col(tie))
+        found = marked.where(F.col(value) == F.col("_top")).groupBy(*keys).agg(best.alias("_row"))
+        return found.where(F.col("_row").isNotNull()).select(*keys, "_row.*")
     if largest:
         best = F.max_by(whole, F.struct(F.col(value), -F.col(tie)))
     else:

@@ -64,12 +64,16 @@ def full_join(
     return both.unionByName(right.join(known, on, "left_anti").select(*right_only))
 
 
-def cross_product(left: DataFrame, right: DataFrame, blocks: int = 64) -> DataFrame:
+def cross_product(left: DataFrame, right: DataFrame, blocks: int | None = None) -> DataFrame:
     """Every left row with every right row.
 
     A right side counted small is broadcast. Otherwise left rows are dealt to blocks and right rows copied to each block,
-    so the work is an evenly spread equi-join on the block number.
+    so the work is an evenly spread equi-join on the block number. There are twice as many blocks as shuffle partitions or
+    cores, whichever are more.
     """
+    if blocks is None:
+        spark = left.sparkSession
+        blocks = 2 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     small = broadcast_if_small(right, 10_000)
     if small is not right:
         return left.join(small)

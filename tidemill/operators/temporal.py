@@ -38,7 +38,7 @@ def session_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str
     both = left.select(*keys, ts, F.struct(*left.columns).alias("l"), F.lit(None).alias("r")).unionByName(
         right.select(*keys, ts, F.lit(None).alias("l"), F.struct(*right.columns).alias("r"))
     )
-    labelled = label_sessions(both, keys, ts, gap)
+    labelled = written(label_sessions(both, keys, ts, gap), "labelled")  # once for both sides
     shared = [*keys, "session_start"]
     a = labelled.where(F.col("l").isNotNull()).select(
         *shared, *[F.col(f"l.{c}").alias(f"l_{c}") for c in left.columns if c not in keys]

@@ -25,8 +25,8 @@ def write_csv(
     df.write.mode("overwrite").csv(path, sep=field_delimiter, lineSep=line_delimiter, header=header)
 
 
-def show_rows(df: DataFrame, n: int = 20, prefix: str = "") -> None:
-    """Print the first n rows, each after a prefix."""
+def show_rows(df: DataFrame, n: int, prefix: str = "") -> None:
+    """Print n rows, each after a prefix; the number is the caller's to choose."""
     for row in df.take(n):
         print(f"{prefix}{row}")
 

@@ -81,8 +81,9 @@ def number_range(spark: SparkSession, first: int, last: int, partitions: int | N
 
 
 def read_sequence_file(spark: SparkSession, path: str, schema: str = "key int, value string") -> DataFrame:
-    """Binary key/value files. Spark has no DataFrame reader for them, so rows pass through the RDD reader once."""
-    return spark.createDataFrame(spark.sparkContext.sequenceFile(path), schema)
+    """Binary key/value files. Spark has no DataFrame reader for them, so rows pass through the RDD reader once,
+    in Python; the schema is taken at its word instead of checked row by row."""
+    return spark.createDataFrame(spark.sparkContext.sequenceFile(path), schema, verifySchema=False)
 
 
 def register(df: DataFrame, name: str) -> DataFrame:
