@@ -167,10 +167,12 @@ def spans_per_row(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spans = find_pii(docs, id_col, text_col).groupBy("k1", "k2").agg(
         F.array_sort(F.collect_list(F.struct(_order(F.col("kind")).alias("place"), "start", "end", "is_base"))).alias("spans")
     )
-    a, b, mine = free_name(docs, "pii_k1"), free_name(docs, "pii_k2"), free_name(docs, "pii_spans")
-    spans = written(spans.select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("spans").alias(mine)), "pii-spans")
-    on = (F.xxhash64(docs[id_col], docs[text_col]) == F.col(a)) & (F.xxhash64(F.lit(7), docs[text_col], docs[id_col]) == F.col(b))
-    return docs.join(spans, on, "left").drop(a, b), mine
+    a, b, a_of, b_of, mine = (free_name(docs, n) for n in ("pii_k1", "pii_k2", "pii_of1", "pii_of2", "pii_spans"))
+    spans = written(spans.select(F.col("k1").alias(a_of), F.col("k2").alias(b_of), F.col("spans").alias(mine)), "pii-spans")
+    # The keys are columns before the join, so the texts move only for callers that go on to use them.
+    keyed = docs.withColumns({a: F.xxhash64(id_col, text_col), b: F.xxhash64(F.lit(7), text_col, id_col)})
+    on = (F.col(a) == F.col(a_of)) & (F.col(b) == F.col(b_of))
+    return keyed.join(spans.hint("shuffle_hash"), on, "left").select(*docs.columns, mine), mine
 
 
 def mask_pii(docs: DataFrame) -> DataFrame:
