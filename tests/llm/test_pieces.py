@@ -108,7 +108,10 @@ def test_columns(spark):
     got = df.select("doc_id", encode(F.col("text"), raw).alias("e")).withColumn("d", decode(F.col("e"), raw)).collect()
     by = sorted(((r.doc_id, r.e, r.d) for r in got), key=str)
     assert by[0] == (1, None, None) and by[1] == (2, [], "") and by[2] == by[3] and by[2][2] == "the\nend"
+    coded = pieces.code_documents(df.withColumnRenamed("ids", "Pieces_"), raw, "e", "d").select("doc_id", "e", "d").collect()
+    assert sorted((tuple(r) for r in coded), key=str) == by
     empty = spark.createDataFrame([], "doc_id long, text string")
+    assert pieces.code_documents(empty, raw).collect() == []
     assert empty.select(encode(F.col("text"), raw)).collect() == []
 
 

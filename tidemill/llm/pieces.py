@@ -17,9 +17,11 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.llm.common import table
 
@@ -31,6 +33,7 @@ UNKNOWN_PENALTY = 10.0
 UNKNOWN_TEXT = " ⁇ "
 
 _CACHED_STRETCHES = 200_000
+_DOCUMENTS_AT_ONCE = 128
 _CACHED_CHARS = 64
 _STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -130,10 +133,15 @@ class PieceModel:
 
 def _utf8(raw: bytes) -> str:
     """Valid characters as they are, and a replacement sign for each byte that belongs to none."""
-    try:
-        return raw.decode("utf-8")
-    except UnicodeDecodeError as bad:
-        return raw[: bad.start].decode("utf-8") + "�" + _utf8(raw[bad.start + 1 :])
+    parts = []
+    while raw:
+        try:
+            parts.append(raw.decode("utf-8"))
+            break
+        except UnicodeDecodeError as bad:
+            parts.append(raw[: bad.start].decode("utf-8") + "�")
+            raw = raw[bad.start + 1 :]
+    return "".join(parts)
 
 
 _open: dict[int, PieceModel] = {}
@@ -179,11 +187,34 @@ def decode(ids: Column, model: bytes) -> Column:
     return run(ids)
 
 
+def code_documents(docs: DataFrame, model: bytes, ids_col: str = "pieces", back_col: str | None = None) -> DataFrame:
+    """``docs`` with the piece numbers of ``text`` in ``ids_col``, and in ``back_col`` the text decoded from them again.
+
+    As ``encode`` and ``decode``, but a task holds the pieces of few documents at a time, whatever the batches it gets.
+    Columns of these names must not exist yet.
+    """
+    fields = [*docs.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
+    if back_col:
+        fields.append(T.StructField(back_col, T.StringType()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _opened(model)
+        for batch in batches:
+            for at in range(0, batch.num_rows, _DOCUMENTS_AT_ONCE):
+                part = batch.slice(at, _DOCUMENTS_AT_ONCE)
+                ids = [None if t is None else pieces.encode(t) for t in part.column("text").to_pylist()]
+                columns = {**dict(zip(part.schema.names, part.columns, strict=True)), ids_col: pa.array(ids, pa.list_(pa.int32()))}
+                if back_col:
+                    columns[back_col] = pa.array([None if x is None else pieces.decode(x) for x in ids], pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return docs.mapInArrow(run, T.StructType(fields))
+
+
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: number and digest of its pieces, digest of the text that comes back."""
-    model = read_model()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = docs.withColumn("ids", encode(F.col("text"), model)).withColumn("back", decode(F.col("ids"), model))
+    coded = code_documents(docs, read_model(), "ids", "back")
     return coded.select(
         "doc_id",
         F.size(F.coalesce("ids", F.array().cast("array<int>"))).cast("long").alias("n_pieces"),
