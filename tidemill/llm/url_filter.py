@@ -104,7 +104,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", unliste
     found = found.select(F.col("url").alias(ref), F.col("best").alias(mine))
     url = F.col(url_col)
     return (
-        pages.join(found, pages[url_col] == F.col(ref), "left")
+        # as large as the pages may be, so never sent to every task; a hot URL's rows can be split
+        pages.join(found.hint("merge"), pages[url_col] == F.col(ref), "left")
         .withColumns(
             {
                 "host": canonical_host(url),
