@@ -230,19 +230,24 @@ def near_groups(
     return rows.join(groups, "fp", "left").select("id", "fp", "component_id")
 
 
-def drop_near_copies(
-    docs: DataFrame, words: int = SHINGLE_WORDS, limit: int = MAX_DIFFERENCES
-) -> DataFrame:
-    """One document of each group (that with the smallest ``doc_id``), with all its columns.
+def keep_firsts(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """One document of each of ``groups`` (that with the smallest ``doc_id``), with all its columns.
 
     Rows that repeat this id are the same document and all stay, as do rows with a null id, which are in no one's place.
     """
-    kept = near_groups(docs, words=words, limit=limit).where("id = component_id").select("id").distinct()
+    kept = groups.where("id = component_id").select("id").distinct()
     ref = free_name(docs, "kept_id")
     kept = written(kept.select(F.col("id").alias(ref)), "kept-ids")
     return docs.join(kept.hint("shuffle_hash"), docs["doc_id"] == F.col(ref), "left").where(F.col(ref).isNotNull() | F.col("doc_id").isNull()).drop(ref)
 
 
+def drop_near_copies(
+    docs: DataFrame, words: int = SHINGLE_WORDS, limit: int = MAX_DIFFERENCES
+) -> DataFrame:
+    """One document of each group of near fingerprints; see ``keep_firsts``."""
+    return keep_firsts(docs, near_groups(docs, words=words, limit=limit))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return groups.select(
