@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import table
-from tidemill.llm.tokens import core, held_out, shape, training_labels
+from tidemill.llm.tokens import core, held_out, shape, training_labels, training_texts
 from tidemill.session import written
 
 SLOTS = 16_384  # words share slots by hash; with DIMS it bounds the matrix to 8 MB
@@ -181,11 +181,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -
             x = [pooled(t, vectors).tolist() for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "quality": b["quality"], "x": x})
 
-    # At most ``rows`` ids: a few hundred kilobytes.
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    got = chosen.mapInPandas(features, "doc_id long, quality int, x array<float>").toPandas()
+    got = training_texts(docs, sample).mapInPandas(features, "doc_id long, quality int, x array<float>").toPandas()
     x = np.array(got["x"].tolist(), np.float32).reshape(len(got), 2 * DIMS + 3)
-    # Rows of one id may be several; an order by content makes the fit the same every time.
+    # An order by content makes the fit the same every time.
     order = np.lexsort((*x.T[:4], got["doc_id"].to_numpy()))
     mixed = order[np.random.default_rng(7).permutation(len(order))]
     return vectors, train(x[mixed], got["quality"].to_numpy(np.int64)[mixed])

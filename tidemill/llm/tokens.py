@@ -37,3 +37,12 @@ def training_labels(labels: DataFrame, columns: list[str], rows: int) -> DataFra
         known = known.where(F.col(c).isNotNull())
     one = known.groupBy("doc_id").agg(*(F.min(c).alias(c) for c in columns))
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+
+
+def training_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """``sample`` (rows of ``training_labels``) with the ``text`` of each document; of several rows with its id that with the
+    least text hash, so there are never more rows than labels."""
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    # At most a label per chosen id: a few hundred kilobytes.
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy(*sample.columns).agg(one)
+    return found.select(*sample.columns, F.col("least.text").alias("text"))

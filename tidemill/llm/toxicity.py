@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import free_name, table
-from tidemill.llm.tokens import core, held_out, shape, training_labels
+from tidemill.llm.tokens import core, held_out, shape, training_labels, training_texts
 from tidemill.session import written
 
 TRAINING_ROWS = 12_000
@@ -170,8 +170,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: list[str], rows
             yield pd.DataFrame({"x": [text_features(t) for t in b["text"]], **{c: b[c] for c in ["doc_id", *categories]}})
 
     schema = "x array<int>, doc_id long, " + ", ".join(f"`{c}` int" for c in categories)
-    # At most ``rows`` ids: a few hundred kilobytes.
-    found = written(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").mapInPandas(features, schema), "toxicity-features")
+    found = written(training_texts(docs, sample).mapInPandas(features, schema), "toxicity-features")
     selected = select_features(found, categories)
     known = F.array(*map(F.lit, sorted({int(f) for chosen in selected for f in chosen}))).cast("array<int>")
     # At most ``rows`` rows of the few selected features each.
