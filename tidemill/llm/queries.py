@@ -7,9 +7,11 @@ from tidemill.llm.packing import op8_packing
 from tidemill.llm.pieces import op2_pieces
 from tidemill.llm.pii import op9_pii
 from tidemill.llm.quality import op10_quality
+from tidemill.llm.sharding import OP13_SQL, op13_sharding
 from tidemill.llm.simhash import op6_simhash
 from tidemill.llm.toxicity import op4_toxicity
 from tidemill.llm.url_filter import OP1_SQL, op1_url_filter
+from tidemill.llm.vector_codes import OP12_SQL, op12_vector_codes
 from tidemill.llm.vector_search import OP5_SQL, op5_vector_search
 
 QUERIES: dict[str, LlmQuery] = {
@@ -23,4 +25,6 @@ QUERIES: dict[str, LlmQuery] = {
     "op8_packing": LlmQuery(op8_packing, None),
     "op9_pii": LlmQuery(op9_pii, None),
     "op10_quality": LlmQuery(op10_quality, None),
+    "op12_vector_codes": LlmQuery(op12_vector_codes, OP12_SQL),
+    "op13_sharding": LlmQuery(op13_sharding, OP13_SQL),
 }
