@@ -26,7 +26,7 @@ def test_same_as_sql(spark, sf_dir, con, name):
 
 
 def test_every_number_once():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_simhash(spark, sf_dir, docs):

@@ -51,8 +51,17 @@ def limbs(x: np.ndarray, bits: int) -> list[np.ndarray]:
     return [*out, x.astype(np.float64)]
 
 
+def _check_range(a: np.ndarray, b: np.ndarray) -> None:
+    """Raise where a product of rows may pass a long."""
+    if _bits(a) + _bits(b) + a.shape[1].bit_length() > 62 and len(a) and len(b):
+        about = np.abs(a).astype(np.float64) @ np.abs(b).astype(np.float64).T
+        if about.max() >= 2.0**62:
+            raise OverflowError("inner products beyond 2^62")
+
+
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """``a @ b.T`` for int64 matrices of the same width, exact where the result fits a long."""
+    """``a @ b.T`` for int64 matrices of the same width, exact; results beyond 2^62 are an error."""
+    _check_range(a, b)
     room = MANTISSA_BITS - max(1, a.shape[1]).bit_length()
     bits_a, bits_b = _bits(a), _bits(b)
     if bits_a + bits_b <= room:
@@ -72,4 +81,6 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def squares(a: np.ndarray) -> np.ndarray:
     """Squared length of every row."""
+    if 2 * _bits(a) + a.shape[1].bit_length() > 62 and len(a) and (a.astype(np.float64) ** 2).sum(1).max() >= 2.0**62:
+        raise OverflowError("squared lengths beyond 2^62")
     return np.einsum("ij,ij->i", a, a)

@@ -2,6 +2,7 @@
 
 from tidemill.llm.common import LlmQuery
 from tidemill.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from tidemill.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from tidemill.llm.line_dedup import OP3_SQL, op3_line_dedup
 from tidemill.llm.packing import op8_packing
 from tidemill.llm.pieces import op2_pieces
@@ -25,6 +26,7 @@ QUERIES: dict[str, LlmQuery] = {
     "op8_packing": LlmQuery(op8_packing, None),
     "op9_pii": LlmQuery(op9_pii, None),
     "op10_quality": LlmQuery(op10_quality, None),
+    "op11_hard_negatives": LlmQuery(op11_hard_negatives, OP11_SQL),
     "op12_vector_codes": LlmQuery(op12_vector_codes, OP12_SQL),
     "op13_sharding": LlmQuery(op13_sharding, OP13_SQL),
 }
