@@ -5,12 +5,14 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import brute
+from test_shingle_sets import groups_of
 import corpus_pipeline
-from tidemill.llm import exact_dedup, line_dedup, packing, perfect_hash, pii, quality, simhash, toxicity, url_filter, vector_search
+from tidemill.llm import exact_dedup, line_dedup, packing, perfect_hash, pii, quality, simhash, tokens, toxicity, url_filter, vector_search
 
 # Names the operators use inside, as extra columns.
 EXTRA = "lost_lines int, k1 int, a int, line int, spans int, fp int, words int, id int, n_tokens int, v int, kept_id int, digest int"
@@ -214,11 +216,14 @@ def test_url_list_of_many_entries(spark, monkeypatch, most):
 
 
 def brute_top(rows, queries, k=10):
-    vectors = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    """By row: one that repeats an id is a candidate and a query of its own."""
+    usable = [(i, v) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    vectors = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in usable]
     out = []
-    for q in queries:
-        scores = sorted((-sum(x * y for x, y in zip(vectors[q], v, strict=False)), i) for i, v in vectors.items() if i != q)
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    for at, (q, own) in enumerate(vectors):
+        if q in queries:
+            scores = sorted((-sum(x * y for x, y in zip(own, v, strict=False)), i) for other, (i, v) in enumerate(vectors) if other != at)
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
     return out
 
 
@@ -226,10 +231,10 @@ def test_vectors(spark):
     rng = np.random.default_rng(2)
     same = rng.normal(size=6).tolist()
     rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(300)] + [(i, same) for i in range(300, 420)]
-    rows += [(500, None), (501, [1.0, None]), (502, [float("nan")] * 6), (503, [float("inf")] * 6), (504, []), (505, [1.0, 2.0]), (None, same), (506, [1e9] * 6), (3, rows[3][1])]
+    rows += [(100, [2.0] * 6), (150, same), (500, None), (501, [1.0, None]), (502, [float("nan")] * 6), (503, [float("inf")] * 6), (504, []), (505, [1.0, 2.0]), (None, same), (506, [1e9] * 6), (3, rows[3][1])]
     df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<double>, v int, block int")
     got = vector_search.top_k(df, F.col("vec_id") % 50 == 0)
-    queries = [i for i in range(0, 420, 50)]
+    queries = range(0, 520, 50)
     assert sorted(map(tuple, got.collect())) == sorted(brute_top(rows, queries))
     few = vector_search.top_k(df.where("vec_id IN (1, 2, 3)"), F.col("vec_id") == 3).collect()
     assert sorted(map(tuple, few)) == sorted(brute_top([r for r in rows if r[0] in (1, 2, 3)], [3]))
@@ -351,7 +356,7 @@ def test_pipeline_stages(spark, sf_dir):
             rows = list(before.items())
             assert kept[name] == {i: t for (i, _), t in zip(rows, brute.kept_lines(rows), strict=True)}
         elif name == "near_dedup":
-            groups = brute.components({i: brute.fingerprint(t) for i, t in before.items()})
+            groups, _ = groups_of(before)
             assert kept[name] == {i: t for i, t in before.items() if groups[i] == i}
         elif name == "pii":
             assert kept[name] == {i: brute.masked(t, brute.base_spans(t)) for i, t in before.items()}
@@ -361,3 +366,37 @@ def test_pipeline_stages(spark, sf_dir):
 
 def test_pipeline_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).columns == ["doc_id", "piece", "start", "n_tokens", "bin_id", "bin_size", "bin_offset"]
+
+
+def test_equal_lookups_are_dealt_over_copies(spark, monkeypatch):
+    """One document of very many equal lines, one text in very many rows: no task gets more lookups than stated."""
+    monkeypatch.setattr(perfect_hash, "LEAST_LOOKUPS_PER_TASK", 200)
+    real, largest = perfect_hash.probe_shards, []
+
+    def watched(index, lookups, n, answer, schema, deal=None):
+        sizes = real(index, lookups, n, lambda shard, rows: pa.table({"n": [rows.num_rows]}), "n long", deal)
+        largest.append(max((r.n for r in sizes.collect()), default=0))
+        return real(index, lookups, n, answer, schema, deal)
+
+    monkeypatch.setattr(line_dedup, "probe_shards", watched)
+    monkeypatch.setattr(exact_dedup, "probe_shards", watched)
+    line = "the same line again"
+    docs = spark.createDataFrame([(1, "\n".join([line] * 20_000)), (2, line + "\nmine alone here")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()} == {1: docs.first().text, 2: "mine alone here"}
+    assert 0 < max(largest) <= 200
+    rows = [(None, "")] * 3000 + [(5, "x y")] * 3000 + [(5, "x  y")] * 2 + [(i, f"text {i}") for i in range(10, 60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    groups = exact_dedup.exact_groups(table.where("coalesce(doc_id, 0) % 2 = 0"), table.where("doc_id % 2 = 1")).collect()
+    assert 0 < max(largest) <= 1.5 * max(200, 4 * len(rows) // 32)
+    assert Counter(r.id for r in groups if r.kept) == Counter({i: 1 for i in (None, 5, *range(10, 60))})
+    assert {(r.keep_id, r.group_size) for r in groups if r.id == 5} == {(5, 3002)}
+
+
+@pytest.mark.parametrize("at", range(0, 3000, 500))
+def test_a_text_without_white_space_counts_as_a_whole(at):
+    """A change anywhere in one very long stretch changes what the classifiers see."""
+    text = "".join(random.Random(3).choice("abcXYZ019-.") for _ in range(3000))
+    other = text[:at] + "éq#" + text[at + 3 :]
+    assert set(toxicity.text_features(text)) != set(toxicity.text_features(other))
+    assert not np.array_equal(quality._bag(text)[0], quality._bag(other)[0])
+    assert tokens.words("a " + "b" * 100) == ["a", "b" * 48, "b" * 48, "b" * 4]

@@ -15,6 +15,9 @@ BLANKS = " \t\n\x0b\x0c\r"
 BLANK_CLASS = "[\\x20\\x09-\\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_MOST_BYTES = 4 << 20
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -53,3 +56,10 @@ def with_text(docs: DataFrame, text: Column) -> DataFrame:
 
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Texts go to Python workers in batches of a few megabytes, however long they are."""
+    if spark.conf.get(_BATCH_BYTES) != str(_MOST_BYTES):
+        spark.conf.set(_BATCH_BYTES, str(_MOST_BYTES))
+    return spark

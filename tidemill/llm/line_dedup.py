@@ -1,7 +1,7 @@
 """Line dedup: lines found in several documents stay only in the first of them.
 
 Every line's key is hashed to 128 bits in the JVM. Keys seen in at least two documents go, by hash, into shards of a minimal
-perfect hash whose slots hold a 64-bit fingerprint, the number of lines and the document that keeps them. Documents then
+perfect hash whose slots hold a 64-bit fingerprint, the number of texts with the line and the document that keeps it. Documents then
 look their keys up in these arrays (hashes travel to the shards, lines never do); a fingerprint that does not match means
 the line is not repeated. Keys with very many lookups are spread over copies of their shard. Only texts that lose a line
 are taken apart again.
@@ -30,11 +30,11 @@ _SECOND_SEED = xxhash.xxh64_intdigest(_SALT.to_bytes(4, "little"), 42)
 
 
 def _keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """``id, a, b`` for every line with a key long enough."""
-    lines = docs.select(F.col(id_col).alias("id"), F.explode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("line"))
-    key = ascii_lower(F.btrim("line", F.lit(BLANKS)))
+    """``id, a, b`` for every different key of a row that is long enough."""
+    lines = F.split(F.coalesce(text_col, F.lit("")), "\n")
+    keys = F.array_distinct(F.transform(lines, lambda line: ascii_lower(F.btrim(line, F.lit(BLANKS)))))
     return (
-        lines.select("id", key.alias("key"))
+        docs.select(F.col(id_col).alias("id"), F.explode(keys).alias("key"))
         .where(F.char_length("key") >= min_chars)
         .select("id", F.xxhash64("key").alias("a"), F.xxhash64(F.lit(_SALT), "key").alias("b"))
     )
@@ -53,9 +53,9 @@ def _answer(shard: pa.Table, rows: pa.Table) -> pa.Table:
 
 
 def lost_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_KEY_CHARS) -> DataFrame:
-    """``id, a, b``: the hashed keys whose lines a document loses (once per line)."""
+    """``id, a, b``: the hashed keys whose lines a document loses (once per row that has them)."""
     keys = written(_keys(docs.where(F.col(id_col).isNotNull()), id_col, text_col, min_chars), "line-keys")
-    seen = keys.groupBy("a", "b").agg(F.min("id").alias("keeper"), F.max("id").alias("last"), F.count(F.lit(1)).alias("lines"))
+    seen = keys.groupBy("a", "b").agg(F.min("id").alias("keeper"), F.max("id").alias("last"), F.count(F.lit(1)).alias("texts"))
     repeated = written(seen.where("keeper < last").drop("last"), "line-repeats")
     n = shard_count(repeated, keys.count())
     shard = F.pmod(F.col("a"), F.lit(n))
@@ -63,9 +63,11 @@ def lost_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
         repeated,
         shard,
         lambda rows: (unsigned(rows["a"]), unsigned(rows["b"])),
-        {"check": "b", "keeper": "keeper", "lines": "lines"},
+        {"check": "b", "keeper": "keeper", "texts": "texts"},
     )
-    return probe_shards(written(index, "line-index"), keys.withColumn("shard", shard), n, _answer, "id long, a long, b long")
+    # Rows that repeat an id look the same keys up: they are dealt by their place in the written table.
+    looked_up, place = keys.withColumn("shard", shard), F.monotonically_increasing_id()
+    return probe_shards(written(index, "line-index"), looked_up, n, _answer, "id long, a long, b long", place)
 
 
 def _without(text: str, a: np.ndarray, b: np.ndarray, min_chars: int) -> tuple[str, int]:

@@ -1,7 +1,7 @@
 """Minimal perfect hashes over 128-bit keys, one per shard of a table, and lookups that travel to the shards.
 
-A shard is one row: the bit arrays of its hash and the payload arrays in slot order. Keys that one shard's lookups
-repeat very often are spread over copies of that shard, so no task holds a hot key's lookups.
+A shard is one row: the bit arrays of its hash and the payload arrays in slot order. Shards with very many lookups are
+copied, and their lookups dealt over the copies by a column the caller names, so no task holds a hot key's lookups.
 """
 
 from __future__ import annotations
@@ -134,12 +134,14 @@ def open_shard(index: pa.Table) -> PerfectHash:
 
 
 def probe_shards(
-    index: DataFrame, lookups: DataFrame, n_shards: int, answer: Callable[[pa.Table, pa.Table], pa.Table], schema: str
+    index: DataFrame, lookups: DataFrame, n_shards: int, answer: Callable[[pa.Table, pa.Table], pa.Table], schema: str, deal: Column | None = None
 ) -> DataFrame:
     """``answer(shard row, its lookups)`` for each shard; ``lookups`` carry the column ``shard``.
 
     Shards with over four times the mean lookups are copied, and their lookups dealt over the copies. There are fewer
-    than ``n_shards / 4`` such shards, so the broadcast list of them stays small.
+    than ``n_shards / 4`` such shards, so the broadcast list of them stays small. ``deal`` is a whole number that differs
+    between lookups that may be equal, by default a hash of all columns. It must be the same when a task runs again: a row
+    number in place is, over a written table.
     """
     loads = lookups.groupBy("shard").agg(F.count(F.lit(1)).alias("load"))
     total = loads.agg(F.sum("load")).first()[0] or 0
@@ -147,7 +149,7 @@ def probe_shards(
     crowded = written(loads.where(F.col("load") > most).select("shard", F.ceil(F.col("load") / most).cast("int").alias("copies")), "crowded")
     columns = lookups.columns
     dealt = lookups.join(F.broadcast(crowded), "shard", "left").select(
-        *columns, F.pmod(F.xxhash64(*columns), F.coalesce("copies", F.lit(1))).cast("int").alias("copy")
+        *columns, F.pmod(F.xxhash64(*columns) if deal is None else deal, F.coalesce("copies", F.lit(1))).cast("int").alias("copy")
     )
     copied = index.join(F.broadcast(crowded), "shard", "left").select(
         *index.columns, F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("copy")

@@ -21,8 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import table
-from tidemill.llm.tokens import core, held_out, shape, training_labels, training_texts
+from tidemill.llm.common import bounded_batches, table
+from tidemill.llm.tokens import core, held_out, shape, training_labels, training_texts, words
 from tidemill.session import written
 
 SLOTS = 16_384  # words share slots by hash; with DIMS it bounds the matrix to 8 MB
@@ -32,21 +32,20 @@ TRAINING_ROWS = 20_000
 THRESHOLD = 0.3
 
 _HIDDEN, _EPOCHS, _BATCH = 32, 40, 256
-_CACHED_TOKENS = 300_000
+_CACHED_TOKENS = 200_000
 _VALIDATION = 5  # every fifth training row sets the temperature
 
-_slots: dict[str, tuple[int, int]] = {}
+_slots: dict[str, int] = {}
 
 
-def _token_slots(token: str) -> tuple[int, int]:
+def _token_slots(token: str) -> int:
+    """The slots of the word and of its shape, as one number."""
     got = _slots.get(token)
     if got is None:
         if len(_slots) >= _CACHED_TOKENS:
             _slots.clear()
-        names = ("w" + core(token), "s" + shape(token))
-        got = tuple(xxhash.xxh32_intdigest(n.encode("utf-8", "surrogatepass")) % SLOTS for n in names)
-        if len(token) < 64:
-            _slots[token] = got
+        word, kind = (xxhash.xxh32_intdigest(n.encode("utf-8", "surrogatepass")) % SLOTS for n in ("w" + core(token), "s" + shape(token)))
+        got = _slots[token] = word * SLOTS + kind
     return got
 
 
@@ -55,10 +54,11 @@ _REPEAT = xxhash.xxh32_intdigest(b"repeat") % SLOTS
 
 def _bag(text: str) -> tuple[np.ndarray, np.ndarray, int, int]:
     """Slot pairs (word, shape) of the distinct tokens, their counts, the number of tokens equal to the one before, all tokens."""
-    tokens = text.split()
+    tokens = words(text)
     counts = Counter(tokens)
     again = sum(map(str.__eq__, tokens, tokens[1:]))
-    slots = np.array([_token_slots(t) for t in counts], np.int64).reshape(-1, 2)
+    both = np.fromiter(map(_token_slots, counts), np.int64, len(counts))
+    slots = np.stack((both // SLOTS, both % SLOTS), axis=1)
     return slots, np.fromiter(counts.values(), np.int64, len(counts)), again, len(tokens)
 
 
@@ -173,6 +173,7 @@ def _best_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> tuple[np.ndarray, Network]:
     """Word vectors from all of ``docs``; a network from at most ``rows`` labelled documents that are not held out."""
+    bounded_batches(docs.sparkSession)
     vectors = word_vectors(docs)
     sample = written(training_labels(labels, ["quality"], rows), "quality-labels")
 

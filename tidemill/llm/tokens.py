@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import re
+import string
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FOLDS = 5
+PIECE_CHARS = 48
+
+_KINDS = str.maketrans(string.ascii_uppercase + string.ascii_lowercase + string.digits, "X" * 26 + "x" * 26 + "9" * 10)
+_KIND_RUNS, _MARK_RUNS = re.compile(r"([Xx9])\1+"), re.compile(r"([^Xx9])\1{2,}")
 _MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -15,13 +22,20 @@ def core(token: str) -> str:
 
 
 def shape(token: str) -> str:
-    """Letters as X or x, digits as 9, marks as they are; at most two of a kind in a row."""
-    out = ""
-    for c in token[:64]:
-        s = "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
-        if not out.endswith(s * 2 if s not in "Xx9" else s):
-            out += s
-    return out
+    """Letters as X or x, digits as 9, marks as they are; one of a kind in a row, at most two equal marks."""
+    if token.isascii():
+        out = token.translate(_KINDS)
+    else:
+        out = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in token)
+    return _MARK_RUNS.sub(r"\1\1", _KIND_RUNS.sub(r"\1", out))
+
+
+def words(text: str) -> list[str]:
+    """What stands between white space. Longer stretches are cut into pieces, so that a text without spaces counts as a whole."""
+    found = text.split()
+    if max(map(len, found), default=0) <= PIECE_CHARS:
+        return found
+    return [w[i : i + PIECE_CHARS] for w in found for i in range(0, len(w), PIECE_CHARS)]
 
 
 def held_out(id_col: str = "doc_id") -> Column:

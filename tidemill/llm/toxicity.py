@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import free_name, table
-from tidemill.llm.tokens import core, held_out, shape, training_labels, training_texts
+from tidemill.llm.tokens import core, held_out, shape, training_labels, training_texts, words
 from tidemill.session import written
 
 TRAINING_ROWS = 12_000
@@ -43,7 +43,7 @@ def token_features(token: str) -> tuple[int, ...]:
 def text_features(text: str | None) -> np.ndarray:
     """The distinct features of a whole text."""
     found: set[int] = set()
-    for token in set((text or "").split()):
+    for token in set(words(text or "")):
         found.update(token_features(token))
     return np.array(sorted(found), np.int64)
 
@@ -75,8 +75,7 @@ class Chain:
             if len(self._cache) >= _CACHED_TOKENS:
                 self._cache.clear()
             got = tuple(f for f in token_features(token) if f in self._table)
-            if len(token) < 64:
-                self._cache[token] = got
+            self._cache[token] = got
         return got
 
     def predict(self, texts: Iterator[str | None]) -> np.ndarray:
@@ -84,7 +83,7 @@ class Chain:
         sums = []
         for text in texts:
             found: set[int] = set()
-            for token in set((text or "").split()):
+            for token in set(words(text or "")):
                 found.update(self._known(token))
             sums.append(np.sum([self._table[f] for f in sorted(found)], axis=0) if found else np.zeros(len(self.links)))
         out = np.array(sums, np.float64).reshape(-1, len(self.links))

@@ -13,47 +13,27 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import shuffle_parts, table
+from tidemill.llm.exact_gemm import matrix, quantised
 from tidemill.session import written
 
 TOP_K = 10
 SCALE = 1024
 ROWS_PER_BLOCK = 8_192
-ROWS_PER_SLICE = 1_000_000
+SLICE_BYTES = 64 << 20  # of cells, one byte a component
 QUERIES_PER_GROUP = 8_192
 
 _AT_ONCE = 256
 _CELLS = 256
 
 
-def quantised(embedding: Column) -> Column:
-    """floor(1024 x) of every component; null for vectors that are null or hold a null or non-finite component."""
-
-    def finite(x: Column) -> Column:
-        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
-
-    return F.when(F.forall(embedding, finite), F.transform(embedding, lambda x: F.floor(F.lit(SCALE) * x.cast("double")).cast("long")))
-
-
-def _matrix(rows: pa.Table) -> np.ndarray:
-    """Rows of ``v``, shorter ones filled with zeros."""
-    values = rows["v"].combine_chunks()
-    lengths = pc.list_value_length(values).to_numpy(zero_copy_only=False).astype(np.int64)
-    out = np.zeros((len(lengths), int(lengths.max(initial=0))), np.int64)
-    flat = values.flatten().to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(len(lengths)), lengths)
-    out[row, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
-    return out
-
-
 def _approximate(rows: pa.Table) -> pa.Table:
     """A block's file: ids, per dimension the least value and the width of a cell, and the cell numbers."""
-    v = _matrix(rows).astype(np.float64)
+    v = matrix(rows["v"]).astype(np.float64)
     low, high = (v.min(0), v.max(0)) if v.size else (np.zeros(v.shape[1]),) * 2
     width = np.maximum(1.0, np.ceil((high - low + 1) / _CELLS))
     cells = np.minimum((v - low) // width, _CELLS - 1).astype(np.uint8)
@@ -74,7 +54,7 @@ def _scan(k: int):
         """For each query the vectors of the slice that may be among its k best, with the bounds of their scores."""
         out = {c: [] for c in ("query_id", "vec_id", "lower", "upper")}
         if blocks.num_rows and queries.num_rows:
-            all_queries, ids = _matrix(queries).astype(np.float64), queries["vec_id"].to_numpy().astype(np.int64)
+            all_queries, ids = matrix(queries["v"]).astype(np.float64), queries["vec_id"].to_numpy().astype(np.int64)
             for at in range(0, len(ids), _AT_ONCE):
                 _scan_part(blocks, ids[at : at + _AT_ONCE], all_queries[at : at + _AT_ONCE], k, out)
         kinds = {"query_id": np.int64, "vec_id": np.int64, "lower": np.float64, "upper": np.float64}
@@ -115,33 +95,34 @@ def _scan_part(blocks: pa.Table, ids: np.ndarray, queries: np.ndarray, k: int, o
 
 
 def _exact(pairs: DataFrame, queries: DataFrame, vectors: DataFrame) -> DataFrame:
-    """``query_id, vec_id, score``: exact products of the pairs, shorter vectors filled with zeros."""
-    q = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    """``query_id, own_id, vec_id, id, score``: exact products of the pairs of rows, shorter vectors filled with zeros."""
+    q = queries.select(F.col("vec_id").alias("query_id"), F.col("id").alias("own_id"), F.col("v").alias("q"))
     product = F.aggregate(F.zip_with("q", "v", lambda x, y: F.coalesce(x * y, F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, x: s + x)
-    return pairs.join(q, "query_id").join(vectors, "vec_id").select("query_id", "vec_id", product.alias("score"))
+    return pairs.join(q, "query_id").join(vectors, "vec_id").select("query_id", "own_id", "vec_id", "id", product.alias("score"))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = TOP_K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: for every row with ``is_query`` its k rows of largest score, ties to smaller ids.
 
     The score is the inner product of the components' floor(1024 x). Rows with a null id, a null vector or a null or
-    non-finite component take no part; neither does a query's own id among its candidates. Rows that repeat an id
-    count once, with the least of their vectors (component by component). Vectors of different lengths are compared as if the shorter
-    one ended in zeros. A score outside the range of a long is an error. Fewer than k candidates are all returned.
+    non-finite component take no part; neither does a query's own row among its candidates. Rows that repeat an id are
+    candidates and queries of their own, with a run of ranks for each. Vectors of different lengths are compared as if the
+    shorter one ended in zeros. A score outside the range of a long is an error. Fewer than k candidates are all returned.
     """
     spark = vectors.sparkSession
-    usable = vectors.select(F.col(id_col).cast("long").alias("vec_id"), quantised(F.col(vector_col)).alias("v"), is_query.alias("is_query"))
-    known = usable.where("vec_id IS NOT NULL AND v IS NOT NULL")
-    rows = written(known.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("is_query").alias("is_query")), "vectors")
+    usable = vectors.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), SCALE).alias("v"), is_query.alias("is_query"))
+    # Within the search a row goes by its number, not by its id.
+    rows = written(usable.where("id IS NOT NULL AND v IS NOT NULL").withColumn("vec_id", F.monotonically_increasing_id()), "vectors")
     queries = rows.where("is_query").drop("is_query")
-    place = F.row_number().over(W.partitionBy("v").orderBy("vec_id"))
-    needed = written(rows.select("vec_id", "v", place.alias("place")).where(F.col("place") <= k + 1).drop("place"), "needed-vectors")
+    place = F.row_number().over(W.partitionBy("v").orderBy("id", "vec_id"))
+    needed = written(rows.select("vec_id", "id", "v", place.alias("place")).where(F.col("place") <= k + 1).drop("place"), "needed-vectors")
 
     n, n_queries = needed.count(), queries.count()
-    slices = max(shuffle_parts(spark), n // ROWS_PER_SLICE + 1)
+    dims = needed.agg(F.max(F.size("v"))).first()[0] or 0
+    slices = max(shuffle_parts(spark), n * dims // SLICE_BYTES + 1)
     blocks, groups = max(slices, n // ROWS_PER_BLOCK + 1), n_queries // QUERIES_PER_GROUP + 1
     files = written(
-        needed.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+        needed.select("vec_id", "v").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
         .groupBy("block")
         .applyInArrow(_approximate, "block long, dims int, ids binary, low binary, width binary, cells binary"),
         "va-files",
@@ -167,8 +148,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = TOP_K, id_col: str = "v
     reached = first.groupBy("query_id").agg(F.min("score").alias("kth"))
     rest = ordered.where(F.col("at") > k).join(reached, "query_id").where(F.col("upper") >= F.col("kth"))
     scored = first.union(_exact(rest.select("query_id", "vec_id"), queries, needed))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return scored.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "id", "vec_id"))
+    best = scored.withColumn("rank", rank).where(F.col("rank") <= k)
+    return best.select(F.col("own_id").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 
 def op5_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,15 +158,14 @@ def op5_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP5_SQL = """
-WITH usable AS (
-  SELECT vec_id, min(list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE)))) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  GROUP BY vec_id
+WITH usable AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
-  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.row <> c.row WHERE q.vec_id % 100 = 0
 ), ranked AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
