@@ -410,7 +410,7 @@ def _list_push(spark: SparkSession, sf: str) -> DataFrame:
 def _list_push_batches(spark: SparkSession, sf: str) -> DataFrame:
     """The same lists when the second half of the month arrives as a later batch."""
     rows = events(spark, sf)
-    late = F.col("ts") >= F.lit("2024-01-15").cast("timestamp")
+    late = F.coalesce(F.col("ts") >= F.lit("2024-01-15").cast("timestamp"), F.lit(True))
     stored = push_front(rows.where(~late), "user_id", "event_id", "event_id")
     return push_batch(stored, push_front(rows.where(late), "user_id", "event_id", "event_id"), "user_id")
 

@@ -27,22 +27,29 @@ from tidemill.streaming.windows import stream_distinct_rows, stream_session_tota
 _C = sql_cents("value")
 
 
-_FILES = 4
+_RANGES = 4
+_ROWS_PER_FILE = 50_000
 
 
 def _in_files(rows: DataFrame, by: str, turns: list[int] | None = None) -> DataFrame:
-    """A table as files that come one per batch: cut along the whole number ``by``, in order or in the given turns."""
-    path = new_dir(rows.sparkSession, "arrivals")
-    span = rows.agg(F.min(by).alias("lo"), F.max(by).alias("hi")).first()
-    step = (span["hi"] - span["lo"]) // _FILES + 1
-    for no in turns or range(_FILES):  # the source reads files in the order they were written
-        first = span["lo"] + no * step
-        rows.where((F.col(by) >= first) & (F.col(by) < first + step)).coalesce(1).write.mode("append").parquet(path)
-    return stream_table(rows.sparkSession, path, files_per_batch=1)
+    """A table as folders of files that come one folder per batch: cut along the whole number ``by``, in order or in the given turns.
+
+    Every folder has the same number of files, one batch takes that many. Rows without ``by`` come in the last folder.
+    """
+    spark = rows.sparkSession
+    path = new_dir(spark, "arrivals")
+    cuts = sorted(set(rows.agg(F.percentile_approx(by, [i / _RANGES for i in range(1, _RANGES)])).first()[0] or []))
+    no = sum((F.coalesce(F.col(by) > F.lit(c), F.lit(True)).cast("int") for c in cuts), F.lit(0))
+    sizes = {r["no"]: r["n"] for r in rows.groupBy(no.alias("no")).agg(F.count("*").alias("n")).collect()}  # at most _RANGES rows
+    files = max(1, min([int(spark.conf.get("spark.sql.shuffle.partitions")), *(n // _ROWS_PER_FILE for n in sizes.values())]))
+    for i in [i for i in turns or range(_RANGES) if i in sizes] or [0]:  # the source reads files in the order they were written
+        part = rows.where(no == i)
+        (part.repartition(files) if files > 1 else part.coalesce(1)).write.mode("append").parquet(path)
+    return stream_table(spark, path, files_per_batch=files)
 
 
 def _events(spark: SparkSession, sf: str, late: bool = False) -> DataFrame:
-    """The events, whose times rise with their ids, in time order or with the second file last."""
+    """The events, whose times rise with their ids, in time order or with the second quarter last."""
     return _in_files(table(use_utc(spark), sf, "events"), "event_id", [0, 2, 3, 1] if late else None)
 
 
@@ -183,7 +190,7 @@ def _stream_resume(spark: SparkSession, sf: str) -> DataFrame:
     base = new_dir(spark, "resume")
     source, target, progress = f"{base}/source", f"{base}/table", f"{base}/progress"
     rows = events(spark, sf).select("event_id", "event_type", "ts")
-    late = F.col("ts") >= F.lit("2024-01-15").cast("timestamp")
+    late = F.coalesce(F.col("ts") >= F.lit("2024-01-15").cast("timestamp"), F.lit(True))
     for part in (rows.where(~late), rows.where(late)):
         part.write.mode("append").parquet(source)
         append_files(stream_table(spark, source), target, progress)
@@ -199,7 +206,7 @@ def _sink_ledger(spark: SparkSession, sf: str) -> DataFrame:
     sent = json_messages(rows, "event_id", "user_id", "c")
     parsed = json_fields(sent, "value", "event_id long, user_id long, c long")
     for half in (0, 1, 0, 1):
-        ledger.drain(parsed.where(F.col("event_id") % 2 == half), f"{base}/progress-{half}")
+        ledger.drain(parsed.where(F.coalesce(F.col("event_id") % 2, F.lit(0)) == half), f"{base}/progress-{half}")
     ledger.write(ledger.rows(spark).where("batch_id = 0"), 0, query_id(spark, f"{base}/progress-0"))
     return ledger.rows(spark).drop("query_id", "batch_id")
 
@@ -211,7 +218,7 @@ def _update_two_queries(spark: SparkSession, sf: str) -> DataFrame:
     sums = [F.sum(cents(F.col("value"))).alias("total"), F.count("*").alias("n")]
     keys = ["user_id", "event_type"]
     for half in (0, 1):
-        rows = _events(spark, sf).where(F.col("user_id") % 2 == half)
+        rows = _events(spark, sf).where(F.coalesce(F.col("user_id") % 2, F.lit(0)) == half)
         update_files(stream_totals(rows, keys, *sums), f"{base}/table", f"{base}/progress-{half}", shared=True)
     compact_updates(spark, f"{base}/table", f"{base}/compact", keys)
     return current_rows(spark, f"{base}/compact", keys)
@@ -224,7 +231,7 @@ def _stream_doc_upsert(spark: SparkSession, sf: str) -> DataFrame:
     target = KeyedTable(path, ("id",))
     lines = traffic_log(_events(spark, sf))
     for _ in range(2):
-        target.upsert(traffic_documents(lines), progress)
+        target.upsert(traffic_documents(lines, delay="10 seconds"), progress)
     return target.rows(spark)
 
 
@@ -325,7 +332,7 @@ def _stream_line_words(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(use_utc(spark), sf, "events")
     line = F.concat_ws(" ", "event_type", F.concat(F.lit("User"), "user_id")).alias("value")
     for part in (0, 1, 2):
-        rows.where(F.col("event_id") % 3 == part).select(line).write.mode("append").text(f"{base}/source")
+        rows.where(F.coalesce(F.col("event_id") % 3, F.lit(0)) == part).select(line).write.mode("append").text(f"{base}/source")
     update_files(word_count(stream_lines(spark, f"{base}/source", 2)), f"{base}/table", f"{base}/progress")
     return current_rows(spark, f"{base}/table", ["word"])
 

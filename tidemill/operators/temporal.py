@@ -38,14 +38,14 @@ def session_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str
     both = left.select(*keys, ts, F.struct(*left.columns).alias("l"), F.lit(None).alias("r")).unionByName(
         right.select(*keys, ts, F.lit(None).alias("l"), F.struct(*right.columns).alias("r"))
     )
-    labelled = written(label_sessions(both, keys, ts, gap), "labelled")  # once for both sides
+    return session_pairs(written(label_sessions(both, keys, ts, gap), "labelled"), left.columns, right.columns, keys)
+
+
+def session_pairs(labelled: DataFrame, left: Sequence[str], right: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Pairs of the rows in the structs ``l`` and ``r`` with the same keys and ``session_start``."""
     shared = [*keys, "session_start"]
-    a = labelled.where(F.col("l").isNotNull()).select(
-        *shared, *[F.col(f"l.{c}").alias(f"l_{c}") for c in left.columns if c not in keys]
-    )
-    b = labelled.where(F.col("r").isNotNull()).select(
-        *shared, *[F.col(f"r.{c}").alias(f"r_{c}") for c in right.columns if c not in keys]
-    )
+    a = labelled.where(F.col("l").isNotNull()).select(*shared, *[F.col(f"l.{c}").alias(f"l_{c}") for c in left if c not in keys])
+    b = labelled.where(F.col("r").isNotNull()).select(*shared, *[F.col(f"r.{c}").alias(f"r_{c}") for c in right if c not in keys])
     return a.join(b, shared)
 
 

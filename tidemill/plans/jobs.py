@@ -15,6 +15,7 @@ from tidemill.operators.shape import split_words
 from tidemill.operators.temporal import snapshot_lookup, window_join
 from tidemill.operators.windows import minute_traffic
 from tidemill.sinks.keyed import document_id
+from tidemill.streaming.enrich import asof_turns
 
 # What an unknown user is called in enriched traffic lines.
 NO_USER = ""
@@ -25,9 +26,14 @@ def word_count(lines: DataFrame, text: str = "line") -> DataFrame:
     return split_words(lines.select(text), text).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def traffic_documents(lines: DataFrame, line: str = "value", size: str = "60 seconds") -> DataFrame:
-    """Traffic log lines to one document per domain and window: ``id, time, domain, traffics``."""
+def traffic_documents(lines: DataFrame, line: str = "value", size: str = "60 seconds", delay: str | None = None) -> DataFrame:
+    """Traffic log lines to one document per domain and window: ``id, time, domain, traffics``.
+
+    A stream names the ``delay`` its lines may have: later ones are dropped, and windows the watermark has passed leave the state.
+    """
     clean, _ = clean_traffic(lines, line)
+    if delay is not None:
+        clean = clean.withWatermark("ts", delay)
     summed = minute_traffic(clean, "ts", "domain", F.sum("traffic"), size)
     return summed.select(document_id(F.col("time"), F.col("domain")).alias("id"), "time", "domain", "traffics")
 
@@ -38,11 +44,26 @@ def traffic_with_user(lines: DataFrame, snapshots: DataFrame, line: str = "value
     ``snapshots``: ``valid_from, domain, user``; the newest map replaces the one before.
     """
     clean, _ = clean_traffic(lines, line)
-    found = snapshot_lookup(
-        clean, snapshots, "ts", "valid_from", [("domain", "domain")], {"user": F.lit(NO_USER)}, keep_unknown=True
+    return _user_lines(
+        snapshot_lookup(clean, snapshots, "ts", "valid_from", [("domain", "domain")], {"user": F.lit(NO_USER)}, keep_unknown=True)
     )
-    text = joined("\t", to_millis(F.col("ts")), F.col("domain"), F.col("traffic"), F.col("user"))
-    return found.select(text.alias("line"))
+
+
+def _user_lines(found: DataFrame) -> DataFrame:
+    return found.select(joined("\t", to_millis(F.col("ts")), F.col("domain"), F.col("traffic"), F.col("user")).alias("line"))
+
+
+class TrafficWithUser:
+    """``traffic_with_user`` of two streams: lines wait until the watermark has passed them, see ``asof_turns``."""
+
+    def __init__(self, lines: DataFrame, snapshots: DataFrame, path: str, checkpoint: str, delay_s: float, line: str = "value"):
+        clean, _ = clean_traffic(lines, line)
+        self.turns = asof_turns(
+            clean, snapshots, "ts", "valid_from", [("domain", "domain")], {"user": F.lit(NO_USER)}, True, path, checkpoint, delay_s
+        )
+
+    def lines(self) -> DataFrame:
+        return _user_lines(self.turns.rows())
 
 
 # Fields of the access log, of the order and the rate messages, and of the student lines.

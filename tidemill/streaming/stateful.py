@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -42,24 +44,61 @@ class TotalChanges(RunningTotal):
 
 
 class SeenItems(StatefulProcessor):
-    """Map state of a key's items and their counts; emits how many distinct ones there are after each micro-batch."""
+    """Map state of a key's items and their counts; emits how many distinct ones there are after each micro-batch.
 
-    def __init__(self, key: str, item: str):
-        self.key, self.item = key, item
+    The map is read once per key and micro-batch, and only what changed is written. With ``ttl_ms`` an item that did not
+    come for so long is forgotten, and counts as new when it comes again.
+    """
+
+    def __init__(self, key: str, item: str, ttl_ms: int | None = None):
+        self.key, self.item, self.ttl_ms = key, item, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "item string", "n long")
-        self.count = handle.getValueState("count", "n long")
+        self.seen = handle.getMapState("seen", "item string", "n long", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        distinct = self.count.get()[0] if self.count.exists() else 0
+        known = {item[0]: n[0] for item, n in self.seen.iterator()}
+        news: Counter = Counter()
         for chunk in rows:
-            for item, n in chunk[self.item].value_counts().items():
-                known = self.seen.getValue((item,))[0] if self.seen.containsKey((item,)) else 0
-                distinct += known == 0
-                self.seen.updateValue((item,), (known + int(n),))
-        self.count.update((int(distinct),))
-        yield pd.DataFrame({self.key: [key[0]], "n_distinct": [int(distinct)]})
+            news.update(chunk[self.item].value_counts().to_dict())
+        for item, n in news.items():
+            self.seen.updateValue((item,), (known.get(item, 0) + int(n),))
+        yield pd.DataFrame({self.key: [key[0]], "n_distinct": [len(known.keys() | news.keys())]})
+
+
+class Reduced(StatefulProcessor):
+    """Reducing state: a key's values folded into one by ``reduce``, which sees two arrays' worth at a time.
+
+    A row with ``clear`` true wipes the state: what came before it in ``order`` no longer counts, and it brings no value
+    itself. With ``ttl_ms`` a key that got no row for so long starts anew. Emits ``value, n`` (null, 0 when wiped) of each
+    key that got rows. A task holds a key's rows of one micro-batch, as two numbers each.
+    """
+
+    def __init__(self, key: str, reduce: Callable[[np.ndarray], int], ttl_ms: int | None = None):
+        self.key, self.reduce, self.ttl_ms = key, reduce, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.reduced = handle.getValueState("reduced", "value long, n long", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        wiped, orders, values = None, [], []
+        for chunk in rows:
+            clears = chunk.loc[chunk["clear"], "at"]
+            if len(clears):
+                wiped = max(int(clears.max()), wiped if wiped is not None else int(clears.max()))
+            kept = chunk.loc[~chunk["clear"]]
+            orders.append(kept["at"].to_numpy(np.int64))
+            values.append(kept["value"].to_numpy(np.int64))
+        order, value = np.concatenate(orders), np.concatenate(values)
+        if wiped is not None:
+            value = value[order > wiped]
+            self.reduced.clear()
+        old, n = self.reduced.get() if self.reduced.exists() else (None, 0)
+        both = value if old is None else np.append(value, old)
+        if len(both):
+            old, n = int(self.reduce(both)), n + len(value)
+            self.reduced.update((old, n))
+        yield pd.DataFrame({self.key: [key[0]], "value": pd.array([old], "Int64"), "n": [n]})
 
 
 class RisingAlarm(StatefulProcessor):
@@ -161,13 +200,37 @@ def stream_change_log(stream: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def stream_distinct(stream: DataFrame, key: str, item: str) -> DataFrame:
-    """Per micro-batch the distinct items so far of each key that got rows."""
+def stream_reduced(
+    stream: DataFrame, key: str, value: str, order: str, reduce: Callable[[np.ndarray], int], clear: Column | None = None, ttl_s: float | None = None
+) -> DataFrame:
+    """Per micro-batch ``key, value, n``: the values of each key that got rows, reduced since its last ``clear`` row.
+
+    ``value`` and ``order`` are whole numbers; rows without one of them are left out. ``reduce`` folds an array into one number
+    and may fold its own results. With ``ttl_s`` a key is forgotten that long (of processing time) after its last row.
+    """
+    use_rocksdb(stream.sparkSession)
+    wipes = F.coalesce(clear, F.lit(False)) if clear is not None else F.lit(False)
+    rows = stream.select(key, F.col(order).cast("long").alias("at"), F.coalesce(F.col(value).cast("long"), F.when(wipes, 0)).alias("value"), wipes.alias("clear"))
+    ttl_ms = None if ttl_s is None else round(ttl_s * 1000)
+    return (
+        rows.where("at IS NOT NULL AND value IS NOT NULL")
+        .groupBy(key)
+        .transformWithStateInPandas(
+            Reduced(key, reduce, ttl_ms), f"{_key_type(stream, key)}, value long, n long", "Update", "None" if ttl_ms is None else "ProcessingTime"
+        )
+    )
+
+
+def stream_distinct(stream: DataFrame, key: str, item: str, ttl_s: float | None = None) -> DataFrame:
+    """Per micro-batch the distinct items so far of each key that got rows; with ``ttl_s`` those of that long at most."""
+    ttl_ms = None if ttl_s is None else round(ttl_s * 1000)
     use_rocksdb(stream.sparkSession)
     return (
         stream.select(key, F.col(item).cast("string").alias(item))
         .groupBy(key)
-        .transformWithStateInPandas(SeenItems(key, item), f"{_key_type(stream, key)}, n_distinct long", "Update", "None")
+        .transformWithStateInPandas(
+            SeenItems(key, item, ttl_ms), f"{_key_type(stream, key)}, n_distinct long", "Update", "None" if ttl_ms is None else "ProcessingTime"
+        )
     )
 
 
