@@ -10,9 +10,11 @@ number of labelled documents; its temperature is set on labelled documents it ha
 
 from __future__ import annotations
 
+import itertools
 import math
+import operator
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import bounded_batches, table
-from tidemill.llm.tokens import core, held_out, shape, training_labels, training_texts, words
+from tidemill.llm.tokens import core, held_out, outline, shape, training_labels, training_texts, words
 from tidemill.session import written
 
 SLOTS = 16_384  # words share slots by hash; with DIMS it bounds the matrix to 8 MB
@@ -32,20 +34,36 @@ TRAINING_ROWS = 20_000
 THRESHOLD = 0.3
 
 _HIDDEN, _EPOCHS, _BATCH = 32, 40, 256
-_CACHED_TOKENS = 200_000
+_CACHED_TOKENS = 150_000
 _VALIDATION = 5  # every fifth training row sets the temperature
 
 _slots: dict[str, int] = {}
+_kinds: dict[str | bytes, int] = {}
+
+
+def _slot(name: str) -> int:
+    return xxhash.xxh32_intdigest(name.encode("utf-8", "surrogatepass")) % SLOTS
 
 
 def _token_slots(token: str) -> int:
     """The slots of the word and of its shape, as one number."""
-    got = _slots.get(token)
-    if got is None:
-        if len(_slots) >= _CACHED_TOKENS:
+    sketch = outline(token)
+    kind = _kinds.get(sketch)
+    if kind is None:
+        if len(_kinds) >= _CACHED_TOKENS:
+            _kinds.clear()
+        kind = _kinds[sketch] = _slot("s" + shape(token))
+    return _slot("w" + core(token)) * SLOTS + kind
+
+
+def _slots_of(tokens: Collection[str]) -> list[int]:
+    got = list(map(_slots.get, tokens))
+    if None in got:
+        if len(_slots) > _CACHED_TOKENS:
             _slots.clear()
-        word, kind = (xxhash.xxh32_intdigest(n.encode("utf-8", "surrogatepass")) % SLOTS for n in ("w" + core(token), "s" + shape(token)))
-        got = _slots[token] = word * SLOTS + kind
+        for i, token in enumerate(tokens):
+            if got[i] is None:
+                got[i] = _slots[token] = _token_slots(token)
     return got
 
 
@@ -56,8 +74,8 @@ def _bag(text: str) -> tuple[np.ndarray, np.ndarray, int, int]:
     """Slot pairs (word, shape) of the distinct tokens, their counts, the number of tokens equal to the one before, all tokens."""
     tokens = words(text)
     counts = Counter(tokens)
-    again = sum(map(str.__eq__, tokens, tokens[1:]))
-    both = np.fromiter(map(_token_slots, counts), np.int64, len(counts))
+    again = sum(map(operator.eq, tokens, itertools.islice(tokens, 1, None)))
+    both = np.array(_slots_of(counts), np.int64)
     slots = np.stack((both // SLOTS, both % SLOTS), axis=1)
     return slots, np.fromiter(counts.values(), np.int64, len(counts)), again, len(tokens)
 

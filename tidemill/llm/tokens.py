@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +10,19 @@ from pyspark.sql import functions as F
 FOLDS = 5
 PIECE_CHARS = 48
 
-_KINDS = str.maketrans(string.ascii_uppercase + string.ascii_lowercase + string.digits, "X" * 26 + "x" * 26 + "9" * 10)
+
+
+class _Kinds(dict):
+    """Characters to their kinds, worked out when first met."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        kind = self[code] = "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
+        return kind
+
+
+_KINDS = _Kinds()
+_ASCII_KINDS = bytes(ord(_KINDS[c]) for c in range(128)) + bytes(range(128, 256))
 _KIND_RUNS, _MARK_RUNS = re.compile(r"([Xx9])\1+"), re.compile(r"([^Xx9])\1{2,}")
 _MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -21,13 +32,17 @@ def core(token: str) -> str:
     return token.strip(_MARKS).lower()
 
 
+def outline(token: str) -> str | bytes:
+    """Letters as X or x, digits as 9, marks as they are: all that the shape depends on."""
+    raw = token.encode("utf-8", "surrogatepass")
+    return raw.translate(_ASCII_KINDS) if len(raw) == len(token) else token.translate(_KINDS)
+
+
 def shape(token: str) -> str:
-    """Letters as X or x, digits as 9, marks as they are; one of a kind in a row, at most two equal marks."""
-    if token.isascii():
-        out = token.translate(_KINDS)
-    else:
-        out = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in token)
-    return _MARK_RUNS.sub(r"\1\1", _KIND_RUNS.sub(r"\1", out))
+    """The outline with one of a kind in a row, and at most two equal marks."""
+    out = outline(token)
+    out = _KIND_RUNS.sub(r"\1", out.decode() if isinstance(out, bytes) else out)
+    return _MARK_RUNS.sub(r"\1\1", out)
 
 
 def words(text: str) -> list[str]:
