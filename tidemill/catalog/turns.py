@@ -14,10 +14,14 @@ from tidemill.catalog.joining import _pair_rows, _snapshots
 from tidemill.catalog.streams import _in_files, _paths
 from tidemill.catalog.timing import _COUNT_MEASURES, DELAY, LATENESS, SIZE, arrivals
 from tidemill.functions.exact import cents
+from tidemill.functions.records import typed_fields
 from tidemill.functions.times import second_label
+from tidemill.operators.running import number_rows
 from tidemill.operators.windows import tumbling, window_process
 from tidemill.plans.jobs import TrafficWithUser, traffic_lines
-from tidemill.session import new_dir, use_utc
+from tidemill.session import new_dir, use_utc, written
+from tidemill.sinks.manifest import commit_files, committed_rows
+from tidemill.sources.message_log import append_log, stream_log
 from tidemill.streaming.enrich import SnapshotTable, stream_snapshot_lookup
 from tidemill.streaming.observed import ObservedCounts
 from tidemill.streaming.ordered import stream_count_sliding, stream_firings
@@ -243,3 +247,33 @@ def _stream_reducing_state(spark: SparkSession, sf: str) -> DataFrame:
     rows = _in_files(table(use_utc(spark), sf, "events"), "event_id").withColumn("c", cents(F.col("value")))
     update_files(stream_reduced(rows, "event_type", "c", "event_id", np.max, F.col("user_id") % 50 == 0), path, progress)
     return current_rows(spark, path, ["event_type"]).where("n > 0")
+
+
+_LOG_SQL = f"""
+    SELECT event_id, {_C} AS c, user_id % 3 AS p, row_number() OVER (PARTITION BY user_id % 3 ORDER BY event_id) - 1 AS o FROM events
+"""
+
+
+@query(
+    "stream_offsets",
+    f"""
+    SELECT CAST(p AS INTEGER) AS partition, o AS "offset", event_id, c FROM ({_LOG_SQL})
+    WHERE o >= CASE p WHEN 0 THEN 23 WHEN 1 THEN 31 ELSE 0 END
+    """,
+)
+def _stream_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """A message log read from given offsets, batch by batch; its third partition appears after the first batch."""
+    base = new_dir(spark, "log")
+    rows = events(spark, sf).where(F.col("user_id").isNotNull())
+    partition = F.pmod("user_id", F.lit(3)).cast("int")
+    numbered = number_rows(rows.withColumn("partition", partition), ["partition"], ["event_id"], "rn")
+    offset = (F.col("rn") - 1).cast("long").alias("offset")
+    value = F.concat_ws(",", "event_id", cents(F.col("value"))).cast("binary").alias("value")
+    log = written(numbered.select(F.lit(None).cast("binary").alias("key"), value, F.lit("events").alias("topic"), "partition", offset, F.col("ts").alias("timestamp")), "messages")
+    half = F.col("offset") < 100
+    for part in (log.where("partition < 2").where(half), log.where("partition < 2").where(~half).unionByName(log.where("partition = 2"))):
+        append_log(part, f"{base}/log")
+        messages = stream_log(spark, f"{base}/log", start={"events": {0: 23, 1: 31}})
+        commit_files(messages.select("partition", "offset", F.col("value").cast("string").alias("value")), f"{base}/read", f"{base}/progress")
+    read = committed_rows(spark, f"{base}/read", "partition int, offset long, value string")
+    return typed_fields(read, "value", ",", [("event_id", "long"), ("c", "long")])

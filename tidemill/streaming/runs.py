@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidemill.session import use_rocksdb
 
+_EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
 BATCH = "batch_id"
 QUERY = "query_id"
 
@@ -79,15 +82,34 @@ def append_files(stream: DataFrame, path: str, checkpoint: str, format: str = "p
     run_available(stream.writeStream.outputMode("append").format(format).option("path", path), checkpoint)
 
 
-def for_each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> None:
-    run_available(stream.writeStream.outputMode(mode).foreachBatch(write), checkpoint)
+@contextmanager
+def _only_batches_with_rows(spark: SparkSession) -> Iterator[None]:
+    """Queries started here run no batch without new rows."""
+    before = spark.conf.get(_EMPTY_BATCHES)
+    spark.conf.set(_EMPTY_BATCHES, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(_EMPTY_BATCHES, before)
+
+
+def for_each_batch(
+    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str, only_new: bool = False
+) -> None:
+    """``write`` every batch of what has arrived.
+
+    State that expires by processing time always asks for one more batch, which may find something expired. Such a stream
+    ends only with ``only_new``: no batch without new rows.
+    """
+    with _only_batches_with_rows(stream.sparkSession) if only_new else nullcontext():
+        run_available(stream.writeStream.outputMode(mode).foreachBatch(write), checkpoint)
 
 
-def update_files(stream: DataFrame, path: str, checkpoint: str, shared: bool = False) -> None:
+def update_files(stream: DataFrame, path: str, checkpoint: str, shared: bool = False, only_new: bool = False) -> None:
     """Every batch's new and changed rows under ``path/query_id=…/batch_id=…``; a repeated batch replaces its own folder.
 
     A query with a checkpoint of its own never touches another one's batches. Only with ``shared`` may it add to a table
-    that another query has written.
+    that another query has written. ``only_new`` as in ``for_each_batch``.
     """
     spark = stream.sparkSession
     query = query_id(spark, checkpoint)
@@ -97,7 +119,7 @@ def update_files(stream: DataFrame, path: str, checkpoint: str, shared: bool = F
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{QUERY}={query}/{BATCH}={batch_id}")
 
-    for_each_batch(stream, write, checkpoint, "update")
+    for_each_batch(stream, write, checkpoint, "update", only_new)
 
 
 _PLACE = f"{QUERY} string, {BATCH} long"

@@ -206,7 +206,8 @@ def stream_reduced(
     """Per micro-batch ``key, value, n``: the values of each key that got rows, reduced since its last ``clear`` row.
 
     ``value`` and ``order`` are whole numbers; rows without one of them are left out. ``reduce`` folds an array into one number
-    and may fold its own results. With ``ttl_s`` a key is forgotten that long (of processing time) after its last row.
+    and may fold its own results. With ``ttl_s`` a key is forgotten that long (of processing time) after its last
+    row; run it with ``only_new``.
     """
     use_rocksdb(stream.sparkSession)
     wipes = F.coalesce(clear, F.lit(False)) if clear is not None else F.lit(False)
@@ -222,7 +223,8 @@ def stream_reduced(
 
 
 def stream_distinct(stream: DataFrame, key: str, item: str, ttl_s: float | None = None) -> DataFrame:
-    """Per micro-batch the distinct items so far of each key that got rows; with ``ttl_s`` those of that long at most."""
+    """Per micro-batch the distinct items so far of each key that got rows; with ``ttl_s`` those of that long at most
+    (run it with ``only_new``)."""
     ttl_ms = None if ttl_s is None else round(ttl_s * 1000)
     use_rocksdb(stream.sparkSession)
     return (
