@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -167,6 +168,105 @@ def test_patterns_find_unseen_identifiers(spark):
     assert [(r.kind, r.start, r.end) for r in found] == [("email", 16, 31)]
 
 
+def plain_patterns(rows):
+    """Added spans by loops: patterns around the finds of each text, scored in three rounds."""
+    word, blank = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]"
+
+    def contexts(front, label, behind):
+        words = re.split(f"{blank}+", front + label)
+        label, one, two = (words[-i] if len(words) >= i else "" for i in (1, 2, 3))
+        if re.search("[A-Za-z]", label):
+            return {"label:" + brute.lower(label)}
+        if len(label) > 2 or not one:
+            return set()
+        out = {"one:" + brute.lower(one)}
+        out |= {"two:" + brute.lower(f"{two} {one}")} if two else set()
+        return out | ({"around:" + brute.lower(f"{one} {behind}")} if behind else set())
+
+    def behind(text, end):
+        found = re.match(f"{word}{{0,2}}{blank}+({word}+)", text[end:])
+        return found.group(1) if found else ""
+
+    def fronted(text, starts, i):
+        """What stands in front of find ``i``, with the find before replaced by its kind."""
+        (start, _, kind) = starts[i]
+        return (f"[{kind}]" if i else "") + text[starts[i - 1][1] if i else 0 : start]
+
+    seeds, tokens = [], []
+    for doc, text in rows:
+        text = text or ""
+        base = brute.base_spans(text)
+        for kind, pattern in brute.KINDS:
+            found = [(m.start(), m.end(), kind) for m in re.finditer(pattern, text)]
+            for i, (s, e, _) in enumerate(found):
+                if (kind, s, e) in base:
+                    seeds.append((kind, brute.lower(text[s:e]), contexts(fronted(text, found, i), "", behind(text, e))))
+        found = [(m.start(), m.end(), "token") for m in re.finditer(rf"(?<!{word}){word}*?[0-9]{word}*", text)]
+        for i, (s, e, _) in enumerate(found):
+            lead = re.match(r"[^A-Za-z0-9]*(?:[A-Za-z][A-Za-z_-]*[:=][^A-Za-z0-9]*)?", text[s:e]).group()
+            core = re.match("[A-Za-z0-9](?:.*[A-Za-z0-9])?", text[s + len(lead) : e])
+            if core and len(re.sub("[^A-Za-z0-9]", "", core.group())) >= pii.LEAST_ALNUM:
+                a, z = s + len(lead), s + len(lead) + len(core.group())
+                if all(z <= b or y <= a for _, b, y in base):
+                    tokens.append((doc, a, z, brute.lower(core.group()), contexts(fronted(text, found, i), lead, behind(text, e))))
+    of = {}
+    for instance, cs in [(x, c) for _, x, c in seeds] + [(x, c) for *_, x, c in tokens]:
+        for c in cs:
+            of.setdefault(c, set()).add(instance)
+    first = {(x, k): 1.0 for k, x, _ in seeds}
+    known, good = dict(first), {}
+    seed_at = {(c, x) for _, x, cs in seeds for c in cs}
+    for _ in range(pii.ROUNDS):
+        good = {}
+        for c, instances in of.items():
+            for kind, _ in brute.KINDS:
+                support = round(sum(known.get((x, kind), 0) for x in instances), 6)
+                least, score = (8, 0.9) if c.startswith("one:") else (3, 0.8)
+                if support >= least and support / len(instances) >= score:
+                    good[c, kind] = support / len(instances)
+        known = dict(first)
+        doubt = {}
+        for (c, kind), score in good.items():
+            for x in of[c]:
+                if (c, x) not in seed_at:
+                    doubt[x, kind] = doubt.get((x, kind), 1.0) * (1 - min(score, 0.999))
+        for at, d in doubt.items():
+            known[at] = max(known.get(at, 0), round(1 - d, 6))
+    best = {}
+    for (c, kind), score in good.items():
+        best[c] = max(best.get(c, (0, "")), (score, kind))
+    out = set()
+    for doc, a, z, _, cs in tokens:
+        kinds = [best[c] for c in cs if c in best]
+        if kinds:
+            out.add((doc, max(kinds)[1], a, z))
+    return out
+
+
+def test_patterns_against_loops(spark, sf_dir):
+    """Spans added to a whole table, among them identifiers behind labels, single words and words on both sides."""
+    rng = random.Random(12)
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    text = [t for _, t in docs if t and len(t) < 3000]
+
+    def planted(make, n):
+        return [(rng.choice(text)[:200] + " " + make(i) + " " + rng.choice(text)[:100]) for i in range(n)]
+
+    more = planted(lambda i: f"email:user{i}@shop.example", 6) + planted(lambda i: "email:joe77(at)site99", 1)
+    more += planted(lambda i: f"{rng.choice(['call', 'or', 'ring'])}{i} telephone +49 30 12345{i:03d}", 30) + planted(lambda i: "x9 telephone 0049-30-998877", 1)
+    more += planted(lambda i: f"a{i} host 10.0.{i}.7 answered", 5) + planted(lambda i: "b host 10-0-0-7x answered", 1)
+    more += ["paid by card 4111111111111111", "Paid  by\ncard (4111 1111 1111 1111)", "z" * 5000 + " 12345678 " + "y" * 5000, "mail a@b.cc, a@b.cc a@b.cc 123456"]
+    docs += [(10_000_000 + i, t) for i, t in enumerate(more)]
+    got = pii.spans_per_row(table(spark, docs))[0]
+    name = pii.spans_per_row(table(spark, docs))[1]
+    spans = {
+        (r.doc_id, pii.KINDS[s.place - 1], s.start, s.end) for r in got.select("doc_id", F.col(name).alias("s")).collect() for s in r.s or [] if not s.is_base
+    }
+    want = plain_patterns(docs)
+    assert spans == want
+    assert {k for _, k, *_ in want} >= {"email", "phone", "ip"}
+
+
 def test_score_rounds(spark):
     """An instance found by one pattern supports the next one."""
     graph = [("a", f"i{n}", "email") for n in range(9)] + [("a", "new1", None), ("b", "i0", "email"), ("b", "i1", "email"), ("b", "i2", "email"), ("b", "new1", None)]

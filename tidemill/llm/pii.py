@@ -1,10 +1,10 @@
 """Personal data by patterns that bootstrap further patterns, in DataFrame functions only.
 
-Four base kinds (email, ip, card, phone) come from fixed expressions with checks. Their finds are the seeds: the two words
-in front of a find are a lexical pattern, and patterns and the things found behind them form a graph. Scores go back and
-forth over it: a pattern of a kind is as good as the share of its distinct instances known to be of that kind, an instance
-is of a kind unless all its patterns err. Identifier-like tokens behind patterns of high score are added as spans of the
-pattern's kind.
+Four base kinds (email, ip, card, phone) come from fixed expressions with checks. Their finds are the seeds, and what stands
+around a find are its lexical patterns: the two words in front of it, the word in front, the words on both sides, a label
+attached to it ("tel:"). Patterns and the things found with them form a graph. Scores go back and forth over it: a
+pattern of a kind is as good as the share of its distinct instances known to be of that kind, an instance is of a kind
+unless all its patterns err. Identifier-like tokens with a pattern of high score are added as spans of the pattern's kind.
 
 The graph holds one row per distinct pattern and instance, counted before the shuffle, so a very common word pair is one
 group of counts. Texts never travel: finds carry their gap to the find before, and running sums give the positions.
@@ -31,12 +31,16 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){13}", "phone": r"\+[0-9]"}
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
-CONTEXT_CHARS = 80
 LEAST_SUPPORT = 3  # known instances (or their confidence in sum) behind a pattern
 LEAST_SCORE = 0.8
+ONE_WORD_SUPPORT = 8  # the same for a single word in front, which says less
+ONE_WORD_SCORE = 0.9
+LABEL = r"[A-Za-z][A-Za-z_-]*[:=]"
 ROUNDS = 3
 LEAST_ALNUM = 6  # letters and digits of an identifier-like token
 
+_ONE, _LONG = "one:", 64
+
 
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
@@ -63,8 +67,33 @@ def _valid(kind: Column, found: Column) -> Column:
     )
 
 
+def _front(text: Column) -> Column:
+    """The end of a text: its last two words and what stands between the last blank and its end."""
+    word = "[^\\x20\\x09-\\x0D]"
+    return F.reverse(F.regexp_extract(F.reverse(text), rf"^{word}*+(?:{BLANK_CLASS}++{word}++){{0,2}}+", 0))
+
+
+def _contexts(front: Column, behind: Column) -> Column:
+    """The patterns of a find as texts: ``front`` as ``_front`` gives it, ``behind`` the word after the find.
+
+    A mark or two between blank and find are not a label. Very long words count by their digest.
+    """
+    parts = F.split(front, f"{BLANK_CLASS}+")
+    label, one, two = (F.try_element_at(parts, F.lit(-i)) for i in (1, 2, 3))
+    named = F.rlike(label, F.lit("[A-Za-z]"))
+    plain = ~named & (F.length(label) <= 2)
+    known = [
+        F.when(plain & (F.length(one) > 0) & (F.length(two) > 0), F.concat(F.lit("two:"), two, F.lit(" "), one)),
+        F.when(plain & (F.length(one) > 0), F.concat(F.lit(_ONE), one)),
+        F.when(plain & (F.length(one) > 0) & (F.length(behind) > 0), F.concat(F.lit("around:"), one, F.lit(" "), behind)),
+        F.when(named, F.concat(F.lit("label:"), label)),
+    ]
+    texts = F.filter(F.array(*(ascii_lower(c) for c in known)), lambda c: c.isNotNull())
+    return F.transform(texts, lambda c: F.when(F.length(c) > _LONG, F.concat(F.substring_index(c, ":", 1), F.lit(":#"), F.md5(c))).otherwise(c))
+
+
 def _finds(docs: DataFrame, patterns: dict[str, tuple[str, str]]) -> DataFrame:
-    """``k1, k2, kind, start, end, found, context`` of all matches; ``docs`` has ``k1, k2, text``."""
+    """``k1, k2, kind, start, end, found, front, behind`` of all matches; ``docs`` has ``k1, k2, text``."""
     kinds = []
     for kind, (pattern, hint) in patterns.items():
         some = F.contains("text", F.lit(hint)) if hint == "@" else F.rlike("text", F.lit(hint))
@@ -76,34 +105,36 @@ def _finds(docs: DataFrame, patterns: dict[str, tuple[str, str]]) -> DataFrame:
         kinds.append(F.when(some, one))
     per_kind = docs.select("k1", "k2", F.explode(F.array(*kinds)).alias("of")).where("size(of.found) > 0")
     # The last gap has no find behind it.
-    paired = F.posexplode(F.arrays_zip(F.col("of.found").alias("found"), F.col("of.gaps").alias("gap"))).alias("i", "at")
-    each = per_kind.select("k1", "k2", "of.kind", paired).select("k1", "k2", "kind", "i", "at.found", "at.gap").where("found IS NOT NULL")
+    next_gaps = F.slice("of.gaps", 2, F.size("of.gaps"))
+    paired = F.posexplode(F.arrays_zip(F.col("of.found").alias("found"), F.col("of.gaps").alias("gap"), next_gaps.alias("next"))).alias("i", "at")
+    each = per_kind.select("k1", "k2", "of.kind", paired).select("k1", "k2", "kind", "i", "at.found", "at.gap", "at.next").where("found IS NOT NULL")
     gap = F.col("gap")
-    words = F.regexp_extract(F.right(gap, F.lit(CONTEXT_CHARS)), rf"([^\x20\x09-\x0D]+{BLANK_CLASS}+[^\x20\x09-\x0D]+){BLANK_CLASS}+[^\x20\x09-\x0D]?$", 1)
+    # What stands in front of the gap is the find before, of which only the kind counts.
+    front = _front(F.concat(F.when(F.col("i") > 0, F.concat(F.lit("["), "kind", F.lit("]"))).otherwise(""), gap))
+    behind = F.regexp_extract("next", rf"^[^\x20\x09-\x0D]{{0,2}}{BLANK_CLASS}++([^\x20\x09-\x0D]++)", 1)
     # Equal rows of one document count once; the join to the documents gives each of them its spans.
-    rows = each.select("k1", "k2", "kind", "i", "found", F.length(gap).alias("gap"), ascii_lower(words).alias("context")).distinct()
+    rows = each.select("k1", "k2", "kind", "i", "found", F.length(gap).alias("gap"), front.alias("front"), behind.alias("behind")).distinct()
     so_far = W.partitionBy("k1", "k2", "kind").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
     ends = rows.withColumn("end", F.sum(F.col("gap") + F.length("found")).over(so_far))
-    return ends.select(
-        "k1", "k2", "kind", (F.col("end") - F.length("found")).alias("start"), "end", "found",
-        F.regexp_replace("context", f"{BLANK_CLASS}+", " ").alias("context"),
-    )
+    return ends.select("k1", "k2", "kind", (F.col("end") - F.length("found")).alias("start"), "end", "found", "front", "behind")
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
     """Checked finds of the base kinds; a find that fails its check is dropped, nothing inside it is tried again."""
     found = _finds(docs, {k: (PATTERNS[k], HINTS[k]) for k in KINDS})
-    return found.where(_valid(F.col("kind"), F.col("found")))
+    return found.where(_valid(F.col("kind"), F.col("found"))).withColumn("contexts", _contexts(F.col("front"), F.col("behind"))).drop("front", "behind")
 
 
 def _candidates(docs: DataFrame, base: DataFrame) -> DataFrame:
-    """Identifier-like tokens that touch no base span: marks at both ends do not count."""
+    """Identifier-like tokens that touch no base span: marks at both ends and a label in front do not count."""
     tokens = _finds(docs, {"token": (TOKEN, "[0-9]")})
-    core = F.regexp_extract("found", "[A-Za-z0-9](?:.*[A-Za-z0-9])?", 0)
-    lead = F.length(F.regexp_extract("found", "^[^A-Za-z0-9]*", 0))
-    tokens = tokens.select(
-        "k1", "k2", "kind", (F.col("start") + lead).alias("start"), (F.col("start") + lead + F.length(core)).alias("end"), core.alias("found"), "context"
-    ).where(F.length(F.regexp_replace("found", "[^A-Za-z0-9]", "")) >= LEAST_ALNUM)
+    lead = F.regexp_extract("found", f"^[^A-Za-z0-9]*+(?:{LABEL}[^A-Za-z0-9]*+)?+", 0)
+    core = F.regexp_extract(F.expr("substring(found, length(lead) + 1)"), "^[A-Za-z0-9](?:.*[A-Za-z0-9])?", 0)
+    start = F.col("start") + F.length("lead")
+    tokens = tokens.withColumn("lead", lead).withColumn("core", core).select(
+        "k1", "k2", "kind", start.alias("start"), (start + F.length("core")).alias("end"), F.col("core").alias("found"),
+        _contexts(F.concat("front", "lead"), F.col("behind")).alias("contexts"),
+    ).where(F.length(F.regexp_replace("found", "[^A-Za-z0-9]", "")) >= LEAST_ALNUM)
     both = tokens.unionByName(base)
     by_start = W.partitionBy("k1", "k2").orderBy("start", "end")
     spans = F.col("kind") != "token"
@@ -124,7 +155,10 @@ def score_patterns(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     for _ in range(rounds):
         support = pairs.join(known, "instance").groupBy("context", "kind").agg(F.round(F.sum("confidence"), 6).alias("support"))
         scored = support.join(sizes, "context").select("context", "kind", "support", (F.col("support") / F.col("n")).alias("score"))
-        patterns = written(scored.where((F.col("support") >= LEAST_SUPPORT) & (F.col("score") >= LEAST_SCORE)).drop("support"), "pii-patterns")
+        one = F.startswith("context", F.lit(_ONE))
+        enough = F.col("support") >= F.when(one, ONE_WORD_SUPPORT).otherwise(LEAST_SUPPORT)
+        good = F.col("score") >= F.when(one, ONE_WORD_SCORE).otherwise(LEAST_SCORE)
+        patterns = written(scored.where(enough & good).drop("support"), "pii-patterns")
         doubt = F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.999)))))
         news = unknown.join(patterns, "context").groupBy("instance", "kind").agg(F.round(1 - doubt, 6).alias("confidence"))
         known = written(news.union(seeds.select(*news.columns)).groupBy("instance", "kind").agg(F.max("confidence").alias("confidence")), "pii-known")
@@ -143,12 +177,14 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
     base = written(base_spans(texts), "pii-base")
     tokens = written(_candidates(texts, base), "pii-tokens")
-    edges = base.select("context", ascii_lower(F.col("found")).alias("instance"), "kind").unionByName(
-        tokens.select("context", ascii_lower(F.col("found")).alias("instance"), F.lit(None).cast("string").alias("kind"))
+    edges = base.select(F.explode("contexts").alias("context"), ascii_lower(F.col("found")).alias("instance"), "kind").unionByName(
+        tokens.select(F.explode("contexts").alias("context"), ascii_lower(F.col("found")).alias("instance"), F.lit(None).cast("string").alias("kind"))
     )
-    patterns = score_patterns(written(edges.where("context <> ''").distinct(), "pii-edges"))
-    best = patterns.groupBy("context").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
-    added = tokens.join(best, "context").select("k1", "k2", "kind", "start", "end", F.lit(False).alias("is_base"))
+    patterns = score_patterns(written(edges.distinct(), "pii-edges"))
+    best = patterns.groupBy("context").agg(F.max(F.struct("score", "kind")).alias("best"))
+    named = tokens.select("k1", "k2", "start", "end", F.explode("contexts").alias("context")).join(best, "context")
+    added = named.groupBy("k1", "k2", "start", "end").agg(F.max("best").alias("best"))
+    added = added.select("k1", "k2", F.col("best.kind").alias("kind"), "start", "end", F.lit(False).alias("is_base"))
     return base.select("k1", "k2", "kind", "start", "end", F.lit(True).alias("is_base")).unionByName(added)
 
 
