@@ -6,16 +6,21 @@ opening one, the watch ends in an alarm. The next watch opens with the first suc
 
 Watches of one key follow from each other, so they cannot be cut by key and time freely. Each (key, slice) of the order
 works out where every possible entry would leave it; the entries are then chained over the few slices of a key; and each
-slice lists its watches from its now known entry. No task ever holds a whole heavy key.
+slice lists its watches from its now known entry. No task ever holds a whole heavy key. All other keys stream through their
+tasks in order, many keys a batch, without a call per key.
 """
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.operators.groups import key_borders, whole_groups
 from tidemill.operators.slices import SLICE, WHOLE_KEY, SlicedOrder, join_on
 
 
@@ -106,13 +111,48 @@ def _slice_watches(rows: pd.DataFrame, hold: int) -> list[tuple]:
             peak = float(values[:covered].max()) if covered else None
             out.append((int(watch), None, None, peak, bool(len(dropped))))
     i = n if pd.isna(entry) else int(np.flatnonzero(ids == entry)[0])
-    while i < n:
+    return out + _watches_from(i, at, ids, values, over, fell, following)
+
+
+def _watches_from(i: int, at, ids, values, over, fell, following) -> list[tuple]:
+    """The watches that follow from each other, the first one opened by row ``i``."""
+    out = []
+    while i < len(at):
         end = min(over[i], fell[i])
         out.append((int(ids[i]), int(at[i]), float(values[i]), float(values[i:end].max()), bool(fell[i] < over[i])))
         i = following[i]
     return out
 
 
+_WATCH_COLUMNS = ["watch", "opened", "first_value", "peak_value", "dropped"]
+_WATCH_SCHEMA = "watch long, opened long, first_value double, peak_value double, dropped boolean"
+_READING = ["_at", "_id", "_value", "_high", "_drop"]
+
+
+def _whole_keys(rows: DataFrame, key: str, hold: int) -> DataFrame:
+    """The watches of keys that are no task's burden: sorted, and worked on key by key within large batches."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in whole_groups(batches, key):
+            at, ids, values, high, drop = (frame[c].to_numpy() for c in _READING)
+            borders = np.flatnonzero(key_borders(frame[key]))
+            names, found, counts = frame[key].iloc[borders], [], []
+            for start, end in itertools.pairwise([*borders.tolist(), len(frame)]):
+                part = slice(start, end)
+                over, fell, following, highs = _next_watch(at[part], high[part], drop[part], hold)
+                listed = _watches_from(int(highs[0]), at[part], ids[part], values[part], over, fell, following)
+                found += listed
+                counts.append(len(listed))
+            out = pd.DataFrame(found, columns=_WATCH_COLUMNS)
+            out.insert(0, key, names.repeat(counts).reset_index(drop=True))
+            yield out
+
+    key_type = dict(rows.dtypes)[key]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select(key, *_READING).repartition(parts, key).sortWithinPartitions(key, "_at", "_id")
+    return dealt.mapInPandas(run, f"`{key}` {key_type}, {_WATCH_SCHEMA}")
+
+
 def rising_alarms(
     df: DataFrame,
     key: str,
@@ -161,28 +201,20 @@ def rising_alarms(
 
     def watches(part: pd.DataFrame) -> pd.DataFrame:
         found = _slice_watches(part.sort_values(ordering), hold)
-        out = pd.DataFrame(found, columns=["watch", "opened", "first_value", "peak_value", "dropped"])
+        out = pd.DataFrame(found, columns=_WATCH_COLUMNS)
         out.insert(0, key, part[key].iloc[0])
         return out.astype({"opened": "Int64"})
 
-    per_slice = rows.groupBy(*group).applyInPandas(entries, f"`{key}` {key_type}, {SLICE} int, {_ENTRY_SCHEMA}")
-    known = per_slice.groupBy(key).applyInPandas(
-        _chain, f"`{key}` {key_type}, {SLICE} int, _until long, _open long, _entry long"
-    )
-    pieces = (
-        join_on(rows, known, group)
-        .groupBy(*group)
-        .applyInPandas(
-            watches,
-            f"`{key}` {key_type}, watch long, opened long, first_value double, peak_value double, dropped boolean",
+    light = rows.where(F.col(SLICE) == WHOLE_KEY) if plan.split else rows
+    whole = _whole_keys(light, key, hold)
+    if plan.split:
+        rows = rows.where(F.col(SLICE) != WHOLE_KEY)
+        per_slice = rows.groupBy(*group).applyInPandas(entries, f"`{key}` {key_type}, {SLICE} int, {_ENTRY_SCHEMA}")
+        known = per_slice.groupBy(key).applyInPandas(
+            _chain, f"`{key}` {key_type}, {SLICE} int, _until long, _open long, _entry long"
         )
-    )
-    whole = pieces.groupBy(key, "watch").agg(
-        F.max("opened").alias("opened"),
-        F.max("first_value").alias("first_value"),
-        F.max("peak_value").alias("peak_value"),
-        F.max("dropped").alias("dropped"),
-    )
+        pieces = join_on(rows, known, group).groupBy(*group).applyInPandas(watches, f"`{key}` {key_type}, {_WATCH_SCHEMA}")
+        whole = whole.unionByName(pieces.groupBy(key, "watch").agg(*(F.max(c).alias(c) for c in _WATCH_COLUMNS[1:])))
     rising = whole.where((F.col("peak_value") > F.col("first_value")) & ~F.col("dropped"))
     return rising.select(
         key,

@@ -14,6 +14,7 @@ from pyspark.sql.types import StructField, StructType
 
 from tidemill.functions.times import minute_label
 from tidemill.operators.aggregates import combine_groups
+from tidemill.operators.groups import key_borders
 from tidemill.operators.running import number_rows
 
 _MERGE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
@@ -155,10 +156,7 @@ def _cut_at_borders(batches: Iterator[pd.DataFrame], group: Sequence[str]) -> It
         if not len(rows):
             continue
         by = rows[list(group)]
-        before = by.shift()
-        border = ((by != before) & ~(by.isna() & before.isna())).any(axis=1).to_numpy()
-        border[0] = False
-        starts = [0, *np.flatnonzero(border).tolist(), len(rows)]
+        starts = [*np.flatnonzero(key_borders(by)).tolist(), len(rows)]
         values = by.iloc[starts[:-1]].itertuples(index=False, name=None)
         for at, (start, end) in zip(values, itertools.pairwise(starts), strict=True):
             if current is None or not _same(current, at):
