@@ -118,3 +118,29 @@ def test_columns(spark):
 def test_query_comes_back_unchanged(spark, sf_dir):
     rows = pieces.op2_pieces(spark, sf_dir).collect()
     assert len(rows) == 200 and all(r.same for r in rows)
+
+
+def test_each_path_is_searched_as_seldom_as_it_can(model, monkeypatch):
+    """Line ends, which no piece has, part a text; words met lately are not searched again; few are kept."""
+    monkeypatch.setattr(pieces, "_CACHED_STRETCHES", 8)
+    fresh, searched = PieceModel(read_model()), []
+    path = fresh._best_path
+    fresh._paths._best_path = lambda stretch: searched.append(stretch) or path(stretch)
+    assert fresh.encode("the end\nthe end\n\n the").tolist() == list(model._path_with_unknown(model.processor.normalize("the end\nthe end\n\n the")))
+    assert sorted(searched) == sorted(["▁the", "▁end", "\n", "the", "\n\n"])
+    for i in range(50):
+        fresh.encode(f"the number {i}")
+    assert searched.count("▁the") == 1 and len(fresh._paths) + len(fresh._paths._before) <= 8
+
+
+def test_covered_texts_have_the_same_path(model):
+    rng = random.Random(8)
+    for _ in range(300):
+        text = "".join(rng.choice("theran▁▁sio12é") for _ in range(rng.randint(0, 20)))
+        assert model._covered_path(text) == model._path_with_unknown(text)
+
+
+def test_bytes_are_put_together(model):
+    raw = "a\n௵\nб".encode() + b"\xe4\n\xb8"
+    ids = np.array([model.byte_ids[b] for b in raw])
+    assert model.decode(ids) == model.processor.decode(ids.tolist()) and model.decode(ids[:2]) == "a\n"

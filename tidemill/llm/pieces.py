@@ -5,14 +5,15 @@ piece that ends there, the longest first, relaxes the best score of the text up
 alone may be unknown, at ten less than the worst score, and is spelt in bytes where the model has byte pieces.
 
 No piece has a word-start mark behind another character (checked when a model is opened; otherwise texts are one stretch),
-so the best path never crosses the start of a run of marks: stretches between such starts are encoded on their own, and
-the automaton runs once for stretches that a task meets again and again.
+so the best path never crosses the start of a run of marks, nor a character that is in no piece: stretches between these are
+encoded on their own, and the automaton runs once for stretches that a task meets again and again.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -35,7 +36,25 @@ UNKNOWN_TEXT = " ⁇ "
 _CACHED_STRETCHES = 200_000
 _DOCUMENTS_AT_ONCE = 128
 _CACHED_CHARS = 64
-_STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+
+
+class _Paths(dict):
+    """The pieces of stretches met lately, as 4-byte numbers. When half of the room is used, the half filled before is given up."""
+
+    def __init__(self, best_path: Callable[[str], tuple[int, ...]]):
+        super().__init__()
+        self._best_path, self._before = best_path, {}
+
+    def __missing__(self, stretch: str) -> bytes:
+        found = self._before.get(stretch)
+        if found is None:
+            found = array("i", self._best_path(stretch)).tobytes()
+        if len(stretch) <= _CACHED_CHARS:
+            if len(self) >= _CACHED_STRETCHES // 2:
+                self._before = dict(self)
+                self.clear()
+            self[stretch] = found
+        return found
 
 
 class PieceModel:
@@ -47,6 +66,7 @@ class PieceModel:
         self.unknown = sp.unk_id()
         self.texts, self.bytes_of, self.byte_ids = [], {}, {}
         self.automaton = ahocorasick.Automaton()
+        self._alone: set[str] = set()  # the characters that a piece covers alone
         worst, whole = 0.0, True
         for i in range(n):
             piece = sp.id_to_piece(i)
@@ -56,29 +76,50 @@ class PieceModel:
                 self.byte_ids[self.bytes_of[i]] = i
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 self.automaton.add_word(piece, (len(piece), i, sp.get_score(i)))
+                if len(piece) == 1:
+                    self._alone.add(piece)
                 worst = min(worst, sp.get_score(i))
                 whole = whole and MARK not in piece.lstrip(MARK)
         self.automaton.make_automaton()
         self.unknown_score = worst - UNKNOWN_PENALTY
         self.prefix = sp.normalize("a").startswith(MARK)
-        self._stretches = _STRETCH.findall if whole else lambda text: [text] if text else []
-        self._cache: dict[str, tuple[int, ...]] = {}
+        # Characters in no piece, where they are spelt in bytes one by one: the ASCII ones, as line ends, are common.
+        known = {c for _, i, _ in self.automaton.values() for c in self.texts[i]}
+        foreign = "".join(re.escape(c) for c in map(chr, range(128)) if c not in known) if len(self.byte_ids) == 256 else ""
+        stretch = re.compile(f"{MARK}*[^{MARK}{foreign}]+|{MARK}+" + (f"|[{foreign}]+" if foreign else ""))
+        self._stretches = stretch.findall if whole else lambda text: [text] if text else []
+        self._paths = _Paths(self._best_path)
+        # A byte below 128 is a character whatever stands beside it; only other bytes must be put together.
+        self._plain = [chr(self.bytes_of[i]) if self.bytes_of.get(i, 128) < 128 else t for i, t in enumerate(self.texts)]
+        self._joined = {i for i, byte in self.bytes_of.items() if byte >= 128}
 
     def encode(self, text: str) -> np.ndarray:
-        ids: list[int] = []
-        cache = self._cache
-        for stretch in self._stretches(self.processor.normalize(text)):
-            found = cache.get(stretch)
-            if found is None:
-                found = self._best_path(stretch)
-                if len(stretch) <= _CACHED_CHARS:
-                    if len(cache) >= _CACHED_STRETCHES:
-                        cache.clear()
-                    cache[stretch] = found
-            ids.extend(found)
-        return np.array(ids, np.int32)
+        found = map(self._paths.__getitem__, self._stretches(self.processor.normalize(text)))
+        return np.frombuffer(b"".join(found), np.int32).copy()
 
     def _best_path(self, text: str) -> tuple[int, ...]:
+        return self._covered_path(text) if self._alone.issuperset(text) else self._path_with_unknown(text)
+
+    def _covered_path(self, text: str) -> tuple[int, ...]:
+        """The best path of a text without unknown characters."""
+        n = len(text)
+        best = [float("-inf")] * n
+        best.append(0.0)  # the score before the first character, at place -1
+        last: list[tuple[int, int, float]] = [(0, 0, 0.0)] * n  # the last piece of the best path
+        for end, step in self.automaton.iter(text):
+            score = best[end - step[0]] + step[2]
+            if score > best[end]:
+                best[end], last[end] = score, step
+        ids: list[int] = []
+        end = n - 1
+        while end >= 0:
+            length, piece, _ = last[end]
+            ids.append(piece)
+            end -= length
+        ids.reverse()
+        return tuple(ids)
+
+    def _path_with_unknown(self, text: str) -> tuple[int, ...]:
         n = len(text)
         best = [float("-inf")] * (n + 1)
         best[0] = 0.0
@@ -114,9 +155,12 @@ class PieceModel:
         return tuple(reversed(ids))
 
     def decode(self, ids: np.ndarray) -> str:
+        numbers = ids.tolist()
+        if self._joined.isdisjoint(numbers):
+            return self._spaced("".join(map(self._plain.__getitem__, numbers)))
         parts: list[str] = []
         held = bytearray()
-        for i in ids.tolist():
+        for i in numbers:
             byte = self.bytes_of.get(i)
             if byte is not None:
                 held.append(byte)
@@ -127,7 +171,10 @@ class PieceModel:
             parts.append(self.texts[i])
         if held:
             parts.append(_utf8(bytes(held)))
-        text = "".join(parts).replace(MARK, " ")
+        return self._spaced("".join(parts))
+
+    def _spaced(self, text: str) -> str:
+        text = text.replace(MARK, " ")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
